@@ -46,10 +46,11 @@ def improvement_percent(before: Column, after: Column) -> Column:
 
 
 def improvement_text(before: Column, after: Column) -> Column:
-    """The change as ``0.0500 (+10.00%)``; an infinite percent prints as ``+inf``."""
+    """The change as ``0.0500 (+10.00%)``; an infinite percent prints as ``+inf``. Digits
+    are rounded half to even first, since ``format_string`` alone rounds half up."""
     percent = improvement_percent(before, after)
-    shown = F.when(percent == F.lit(float("inf")), F.lit("+inf")).otherwise(F.format_string("%+.2f", percent))
-    return F.concat(F.format_string("%.4f", after - before), F.lit(" ("), shown, F.lit("%)"))
+    shown = F.when(percent == F.lit(float("inf")), F.lit("+inf")).otherwise(F.format_string("%+.2f", F.bround(percent, 2)))
+    return F.concat(F.format_string("%.4f", F.bround(after - before, 4)), F.lit(" ("), shown, F.lit("%)"))
 
 
 def usage_cost(unit: Column, prompt_price: Column, completion_price: Column,

@@ -14,6 +14,7 @@ from quillsieve.functions.scales import judge_score
 from quillsieve.functions.text import banned, distinct_word_ratio, sentence_count, word_count
 from quillsieve.model import EVALUATIONS
 from quillsieve.operators.gates import EVALS, metric
+from quillsieve.session import computed_once
 
 Scorer = Callable[[], Column]
 
@@ -57,6 +58,10 @@ def to_map(scores: dict[str, Column]) -> Column:
     return F.map_from_entries(F.array_compact(F.array(*entries)))
 
 
+def _empty() -> Column:
+    return F.from_json(F.lit("{}"), EVALUATIONS)
+
+
 def score(df: DataFrame, scorers: dict[str, Scorer], metrics: tuple[str, ...] | None = None) -> DataFrame:
     """Add the scores to the evaluations map, replacing scores of the same name.
 
@@ -65,10 +70,9 @@ def score(df: DataFrame, scorers: dict[str, Scorer], metrics: tuple[str, ...] |
     names = list(metrics) if metrics else list(scorers)
     fresh = to_map({n: scorers[n]() for n in names})
     if EVALS not in df.columns:
-        return df.withColumn(EVALS, fresh)
-    kept = F.map_filter(F.col(EVALS), lambda k, _: ~k.isin(*names))
-    return df.withColumn(EVALS, F.map_concat(F.coalesce(kept, F.map_from_entries(F.array().cast(
-        "array<struct<k:string,v:double>>"))), fresh))
+        return computed_once(df, {EVALS: fresh})
+    kept = F.map_filter(F.coalesce(F.col(EVALS), _empty()), lambda k, _: ~k.isin(*names))
+    return computed_once(df, {EVALS: F.map_concat(kept, fresh)})
 
 
 def rationale_and_answer(df: DataFrame, answer: Column | None = None) -> DataFrame:
@@ -143,12 +147,11 @@ def aggregate_scores(
 ) -> DataFrame:
     """Add overall and combined score to the evaluations, and the columns
     ``passes_thresholds`` and ``evaluation_timestamp`` (a run parameter)."""
-    empty = F.from_json(F.lit("{}"), EVALUATIONS)
-    base = df.withColumn(EVALS, F.coalesce(F.col(EVALS), empty))
+    base = df.withColumn(EVALS, F.coalesce(F.col(EVALS), _empty()))
     derived = to_map({"overall_score": overall_score(weights), "combined_score": combined_score(rationale_weight, answer_weight)})
     kept = F.map_filter(F.col(EVALS), lambda k, _: ~k.isin("overall_score", "combined_score"))
     return (
-        base.withColumn(EVALS, F.map_concat(kept, derived))
+        computed_once(base, {EVALS: F.map_concat(kept, derived)})
         .withColumn("passes_thresholds", passes_thresholds(thresholds))
         .withColumn("evaluation_timestamp", F.lit(evaluated_at).cast("timestamp"))
     )

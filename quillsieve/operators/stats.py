@@ -45,8 +45,8 @@ def index_statistics(df: DataFrame, buckets: int = DIFFICULTY_BUCKETS) -> DataFr
     )
     keyed = cells.select(F.col("n"), F.inline(F.array(
         F.struct(F.lit("total").alias("kind"), F.lit(None).cast("string").alias("key")),
-        F.struct(F.lit("domain"), F.col("domain")),
-        F.struct(F.lit("bucket"), F.col("bucket").cast("string")),
+        F.struct(F.lit("domain").alias("kind"), F.col("domain").alias("key")),
+        F.struct(F.lit("bucket").alias("kind"), F.col("bucket").cast("string").alias("key")),
     )))
     counted = keyed.where((F.col("kind") == "total") | F.col("key").isNotNull()).groupBy("kind", "key").agg(
         F.sum("n").alias("count")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _CONF_KEY = "spark.checkpoint.dir"
@@ -102,3 +102,14 @@ def lookup_join(
     salted = df.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(_SALTS)).cast("int"))
     repeated = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     return salted.join(repeated, [*on, salt], how).drop(salt)
+
+
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add or replace columns whose expressions are evaluated once per row.
+
+    A later filter or projection would otherwise inline an expensive expression at each
+    of its uses; the one-element generator is a border that the optimizer keeps.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    made = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
+    return df.select(*kept, F.inline(made))
