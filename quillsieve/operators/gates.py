@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,19 +14,31 @@ from quillsieve.fixed_values import (
     RATIONALE_THRESHOLD,
     SAFETY_THRESHOLD,
 )
+from quillsieve.functions.binding import let
 
 EVALS = "evaluations"
 
 
-def metric(name: str, default: float | None = None, evals: str = EVALS) -> Column:
+def metric(name: str, default: float | None = None, evals: Column | None = None) -> Column:
     """Score of a metric; ``default`` replaces a missing one."""
-    value = F.try_element_at(F.col(evals), F.lit(name))
+    value = F.try_element_at(F.col(EVALS) if evals is None else evals, F.lit(name))
     return value if default is None else F.coalesce(value, F.lit(float(default)))
 
 
-def present_at_least(name: str, threshold: float) -> Column:
+def present_at_least(name: str, threshold: float, evals: Column | None = None) -> Column:
     """True if the metric is missing or reaches the threshold."""
-    return F.coalesce(metric(name) >= threshold, F.lit(True))
+    return F.coalesce(metric(name, evals=evals) >= threshold, F.lit(True))
+
+
+def _gate(conditions: Callable[[Column], list[Column]]) -> Column:
+    """All conditions on the evaluations map hold; false without one."""
+    def body(evals: Column) -> Column:
+        ok = evals.isNotNull()
+        for condition in conditions(evals):
+            ok = ok & condition
+        return ok
+
+    return let(F.col(EVALS), body)
 
 
 def passes_quality(
@@ -40,14 +54,14 @@ def passes_quality(
     thresholds = GATE_THRESHOLDS if thresholds is None else thresholds
     if overall_threshold is None:
         overall_threshold = thresholds.get("overall_score", OVERALL_THRESHOLD)
-    ok = F.col(EVALS).isNotNull()
-    ok = ok & (metric("overall_score", 0.0) >= overall_threshold)
-    ok = ok & (metric("safety_score", 1.0) >= safety_threshold)
-    for name, threshold in thresholds.items():
-        if name not in ("overall_score", "safety_score"):
-            ok = ok & present_at_least(name, threshold)
-    ok = ok & (metric("rationale_quality", 0.0) >= rationale_threshold)
-    return ok & (metric("answer_accuracy", 0.0) >= answer_threshold)
+    others = {n: t for n, t in thresholds.items() if n not in ("overall_score", "safety_score")}
+    return _gate(lambda e: [
+        metric("overall_score", 0.0, e) >= overall_threshold,
+        metric("safety_score", 1.0, e) >= safety_threshold,
+        *[present_at_least(n, t, e) for n, t in others.items()],
+        metric("rationale_quality", 0.0, e) >= rationale_threshold,
+        metric("answer_accuracy", 0.0, e) >= answer_threshold,
+    ])
 
 
 def filter_by_quality(df: DataFrame, overall_threshold: float | None = None, **options) -> DataFrame:
@@ -57,10 +71,7 @@ def filter_by_quality(df: DataFrame, overall_threshold: float | None = None, **o
 def filter_by_metrics(df: DataFrame, thresholds: dict[str, float]) -> DataFrame:
     """Every listed metric reaches its threshold where present; rows without
     evaluations fail."""
-    ok = F.col(EVALS).isNotNull()
-    for name, threshold in thresholds.items():
-        ok = ok & present_at_least(name, threshold)
-    return df.where(ok)
+    return df.where(_gate(lambda e: [present_at_least(n, t, e) for n, t in thresholds.items()]))
 
 
 def filter_by_verification(df: DataFrame, require_verified: bool = True, column: str = "verification") -> DataFrame:
@@ -74,8 +85,7 @@ def filter_by_rationale_and_answer(
     answer_threshold: float = ANSWER_THRESHOLD,
 ) -> DataFrame:
     """Both scores (missing 0) reach their thresholds; evaluations must exist."""
-    return df.where(
-        F.col(EVALS).isNotNull()
-        & (metric("rationale_quality", 0.0) >= rationale_threshold)
-        & (metric("answer_accuracy", 0.0) >= answer_threshold)
-    )
+    return df.where(_gate(lambda e: [
+        metric("rationale_quality", 0.0, e) >= rationale_threshold,
+        metric("answer_accuracy", 0.0, e) >= answer_threshold,
+    ]))

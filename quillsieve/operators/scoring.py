@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillsieve.fixed_values import DEFAULT_METRICS, JUDGE_CRITERIA, OVERALL_THRESHOLD, SAFETY_THRESHOLD
+from quillsieve.functions.binding import let
 from quillsieve.functions.keys import uniform
 from quillsieve.functions.scales import judge_score
 from quillsieve.functions.text import banned, distinct_word_ratio, sentence_count, word_count
 from quillsieve.model import EVALUATIONS
-from quillsieve.operators.gates import EVALS, metric
-from quillsieve.session import computed_once
+from quillsieve.operators.gates import EVALS, metric, present_at_least
 
 Scorer = Callable[[], Column]
 
@@ -70,9 +70,9 @@ def score(df: DataFrame, scorers: dict[str, Scorer], metrics: tuple[str, ...] |
     names = list(metrics) if metrics else list(scorers)
     fresh = to_map({n: scorers[n]() for n in names})
     if EVALS not in df.columns:
-        return computed_once(df, {EVALS: fresh})
+        return df.withColumn(EVALS, fresh)
     kept = F.map_filter(F.coalesce(F.col(EVALS), _empty()), lambda k, _: ~k.isin(*names))
-    return computed_once(df, {EVALS: F.map_concat(kept, fresh)})
+    return df.withColumn(EVALS, F.map_concat(kept, fresh))
 
 
 def rationale_and_answer(df: DataFrame, answer: Column | None = None) -> DataFrame:
@@ -111,30 +111,35 @@ def judge_scores(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, judged.where(bad)
 
 
-def overall_score(weights: dict[str, float] | None = None) -> Column:
+def overall_score(weights: dict[str, float] | None = None, evals: Column | None = None) -> Column:
     """Weighted mean over the default metrics that are present (missing weight 1); 0 if
     none is present or the weights sum to 0."""
     weights = weights or {}
     total, weighted = F.lit(0.0), F.lit(0.0)
     for name in DEFAULT_METRICS:
         w = float(weights.get(name, 1.0))
-        total = total + F.when(metric(name).isNotNull(), F.lit(w)).otherwise(F.lit(0.0))
-        weighted = weighted + metric(name, 0.0) * w
+        total = total + F.when(metric(name, evals=evals).isNotNull(), F.lit(w)).otherwise(F.lit(0.0))
+        weighted = weighted + metric(name, 0.0, evals) * w
     return F.when(total == 0, F.lit(0.0)).otherwise(F.try_divide(weighted, total))
 
 
-def combined_score(rationale_weight: float = 0.5, answer_weight: float = 0.5) -> Column:
-    return metric("rationale_quality", 0.0) * rationale_weight + metric("answer_accuracy", 0.0) * answer_weight
+def combined_score(rationale_weight: float = 0.5, answer_weight: float = 0.5, evals: Column | None = None) -> Column:
+    rationale, answer = metric("rationale_quality", 0.0, evals), metric("answer_accuracy", 0.0, evals)
+    return rationale * rationale_weight + answer * answer_weight
 
 
 def passes_thresholds(thresholds: dict[str, float] | None = None) -> Column:
     """Every configured metric that is present reaches its threshold; safety and
     overall have defaults."""
     limits = {"safety_score": SAFETY_THRESHOLD, "overall_score": OVERALL_THRESHOLD, **(thresholds or {})}
-    ok = F.lit(True)
-    for name, threshold in limits.items():
-        ok = ok & F.coalesce(metric(name) >= threshold, F.lit(True))
-    return ok
+
+    def body(evals: Column) -> Column:
+        ok = F.lit(True)
+        for name, threshold in limits.items():
+            ok = ok & present_at_least(name, threshold, evals)
+        return ok
+
+    return let(F.col(EVALS), body)
 
 
 def aggregate_scores(
@@ -147,11 +152,15 @@ def aggregate_scores(
 ) -> DataFrame:
     """Add overall and combined score to the evaluations, and the columns
     ``passes_thresholds`` and ``evaluation_timestamp`` (a run parameter)."""
-    base = df.withColumn(EVALS, F.coalesce(F.col(EVALS), _empty()))
-    derived = to_map({"overall_score": overall_score(weights), "combined_score": combined_score(rationale_weight, answer_weight)})
-    kept = F.map_filter(F.col(EVALS), lambda k, _: ~k.isin("overall_score", "combined_score"))
+    def derived(evals: Column) -> Column:
+        kept = F.map_filter(evals, lambda k, _: ~k.isin("overall_score", "combined_score"))
+        return F.map_concat(kept, to_map({
+            "overall_score": overall_score(weights, evals),
+            "combined_score": combined_score(rationale_weight, answer_weight, evals),
+        }))
+
     return (
-        computed_once(base, {EVALS: F.map_concat(kept, derived)})
+        df.withColumn(EVALS, let(F.coalesce(F.col(EVALS), _empty()), derived))
         .withColumn("passes_thresholds", passes_thresholds(thresholds))
         .withColumn("evaluation_timestamp", F.lit(evaluated_at).cast("timestamp"))
     )
