@@ -9,6 +9,7 @@ from quillsieve.catalog.registry import query
 from quillsieve.catalog.views import ASSESSED, CALLS, CONVS, DOCS, assessed_documents, call_log, conversation_samples, document_samples, table
 from quillsieve.operators import reports, rules, stats, verify
 from quillsieve.operators.gates import metric
+from quillsieve.session import stage
 
 
 @query("f1_seed_statistics", f"""WITH {DOCS}
@@ -134,7 +135,8 @@ UNION ALL SELECT 'domain', domain, 'mean_score', round(avg(overall), 6) FROM v G
 UNION ALL SELECT 'domain', domain, 'verification_success_rate', round(avg(verified::INT), 6) FROM v GROUP BY domain
 """ + "".join(f"UNION ALL SELECT 'score', '{n}', unnest(['mean', 'median', 'std']), unnest([round(avg({c}), 6), round(median({c}), 6), round(stddev_pop({c}), 6)]) FROM v\n" for n, c in _METRICS))
 def _(spark, sf):
-    return _rounded(reports.assessment_report(verify.verify(assessed_documents(spark, sf))))
+    assessed = verify.verify(assessed_documents(spark, sf)).select("metadata", "evaluations", "verification")
+    return _rounded(reports.assessment_report(stage(assessed, "assessed")))
 
 
 @query("f12_rationale_answer_relation", f"""WITH {ASSESSED}

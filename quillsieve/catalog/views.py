@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from quillsieve.fixed_values import WHITESPACE
 from quillsieve.functions.keys import uniform
@@ -20,6 +19,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _doc_id():
+    return F.concat(F.lit("d"), F.col("doc_id").cast("string"))
+
+
 def document_samples(spark: SparkSession, sf: str, split: str = "last_line") -> DataFrame:
     """One sample per document: instruction is the first line, response the whole text."""
     docs = table(spark, sf, "documents")
@@ -33,20 +36,21 @@ def document_samples(spark: SparkSession, sf: str, split: str = "last_line") ->
         F.lit(None).cast("map<string,string>").alias("extra"),
     )
     return docs.select(
-        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
+        _doc_id().alias("id"),
         F.substring_index("text", "\n", 1).alias("instruction"),
         response_from_text(F.col("text"), split).alias("response"), metadata.alias("metadata"),
     )
 
 
 def conversation_samples(spark: SparkSession, sf: str) -> DataFrame:
-    """One sample per user turn that an assistant turn follows directly."""
-    by_turn = Window.partitionBy("conv_id").orderBy("turn")
-    turns = table(spark, sf, "conversations").select(
-        "conv_id", "turn", "role", "text",
-        F.lead("role").over(by_turn).alias("next_role"), F.lead("text").over(by_turn).alias("next_text"),
+    """One sample per user turn that an assistant turn follows directly. The next turn is
+    found by an equi-join on (conversation, turn), which spreads a very long
+    conversation over many tasks; a window per conversation would not."""
+    turns = table(spark, sf, "conversations")
+    following = turns.where("role = 'assistant'").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next_text")
     )
-    pairs = turns.where((F.col("role") == "user") & (F.col("next_role") == "assistant"))
+    pairs = turns.where("role = 'user'").join(following, ["conv_id", "turn"])
     metadata = F.struct(
         F.when(F.col("turn") == 0, "opening").otherwise("follow_up").alias("domain"),
         F.least(F.lit(1.0), F.length("text") / 400.0).alias("difficulty"),
@@ -63,7 +67,7 @@ def conversation_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 def label_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Score table (id, metric, score) from the labels."""
-    labels = table(spark, sf, "labels").withColumn("id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    labels = table(spark, sf, "labels").withColumn("id", _doc_id())
     entries = F.array(
         F.struct(F.lit("response_quality").alias("metric"), F.col("quality").cast("double").alias("score")),
         F.struct(F.lit("safety_score").alias("metric"), (1 - F.col("toxic")).cast("double").alias("score")),
@@ -75,7 +79,7 @@ def scored_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with evaluations: text scorers, label scores where there are labels,
     and an answer score for English ones. Some metrics are thus absent in some rows."""
     labels = table(spark, sf, "labels").select(
-        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
+        _doc_id().alias("id"),
         F.col("quality").cast("double").alias("__quality"), (1 - F.col("toxic")).cast("double").alias("__safe"),
     )
     text = text_scorers()
@@ -111,7 +115,7 @@ def call_log(spark: SparkSession, sf: str) -> DataFrame:
     completion = F.floor("value").cast("bigint")
     models = F.array(*[F.lit(m) for m in ("gpt-4", "deepseek-chat", "gemini-1.0-pro", "unpriced")])
     return table(spark, sf, "events").select(
-        F.col("event_id").cast("string").alias("id"), "ts", F.col("event_type").alias("provider"),
+        F.col("event_id").cast("string").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("provider"),
         F.get(models, F.pmod("user_id", F.lit(4)).cast("int")).alias("model"),
         F.when(F.col("event_type") == "error", "error").alias("error"),
         k.alias("prompt_tokens"), completion.alias("completion_tokens"), (k + completion).alias("tokens"),

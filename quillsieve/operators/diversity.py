@@ -67,19 +67,21 @@ def kernel_cells(values: DataFrame, value: str, bandwidth: float) -> DataFrame:
     )
     power, moments = F.lit(1.0), []
     for i in range(_ORDER + 1):
-        moments.append(F.sum(power).alias(f"m{i}"))
+        moments.append((F.sum(power) / math.factorial(i)).alias(f"m{i}"))
         power = power * F.col("u")
-    sources = cells.groupBy("cell").agg(*moments)
+    sources = cells.groupBy("cell").agg(*moments).select("cell", F.array(*[f"m{i}" for i in range(_ORDER + 1)]).alias("m"))
     spread = sources.withColumn("k", F.explode(_hermite_table())).withColumn("target", F.col("cell") + F.col("k.q"))
-    sums = []
-    for j in range(_ORDER + 1):
-        term = F.lit(0.0)
-        for i in range(_ORDER + 1 - j):
-            factor = (-1.0) ** j / (math.factorial(i) * math.factorial(j))
-            term = term + F.get(F.col("k.a"), i + j) * F.col(f"m{i}") * F.lit(factor)
-        sums.append(F.sum(term).alias(f"l{j}"))
-    sums.append(F.max(F.col("k.q") == 0).alias("occupied"))
-    return spread.groupBy(F.col("target").alias("cell")).agg(*sums).where("occupied").drop("occupied")
+    signs = F.array(*[F.lit((-1.0) ** j / math.factorial(j)) for j in range(_ORDER + 1)])
+
+    def coefficient(sign: Column, j: Column) -> Column:
+        length = F.lit(_ORDER + 1) - j
+        products = F.zip_with(F.slice("k.a", j + 1, length), F.slice("m", F.lit(1), length), lambda x, y: x * y)
+        return sign * F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+    terms = spread.select("target", (F.col("k.q") == 0).alias("own"), F.transform(signs, coefficient).alias("t"))
+    sums = [F.sum(F.get("t", j)).alias(f"l{j}") for j in range(_ORDER + 1)]
+    grouped = terms.groupBy(F.col("target").alias("cell")).agg(*sums, F.max("own").alias("occupied"))
+    return grouped.where("occupied").drop("occupied")
 
 
 def _density(value: Column, cell: Column, bandwidth: float, prefix: str = "") -> Column:

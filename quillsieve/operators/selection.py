@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from quillsieve.fixed_values import DIFFICULTY_SHARES, DIVERSITY_WEIGHT, TARGET_SIZE
 from quillsieve.functions.scales import difficulty_band
-from quillsieve.operators.diversity import diversity_scores
+from quillsieve.operators.diversity import diversity_scores, sample_features
 from quillsieve.operators.gates import filter_by_quality, metric
 from quillsieve.operators.ranking import IN_PLACE_ROWS, top_per_group
-from quillsieve.session import stage
+from quillsieve.session import lookup_join, stage
 
 BANDS = ("easy", "medium", "hard")
 _LENDERS = ("medium", "easy", "hard")
@@ -123,13 +123,28 @@ def multi_dimension_filter(
     gate: dict | None = None,
     weights: dict[str, float] | None = None,
 ) -> DataFrame:
-    """Quality gate, then diversity of what passed, then balanced selection. The gated
-    rows are staged once, since diversity and selection both read them."""
-    passed = stage(filter_by_quality(df, quality_threshold, **(gate or {})), "gated")
-    scored = diversity_scores(passed, weights=weights).withColumn(
-        "selection_score", selection_score(diversity_weight)
+    """Quality gate, then diversity of what passed, then balanced selection.
+
+    Only id, features, score and band of the passing rows are staged and ranked; the
+    wide rows are read again at the end and joined with the selected ids, of which
+    there are at most ``target``. Rows need an id. Adds ``selection_score`` and
+    ``diversity_score``.
+    """
+    features = sample_features()
+    narrow = stage(
+        filter_by_quality(df, quality_threshold, **(gate or {})).select(
+            "id", *[c.alias(f"f_{n}") for n, c in features.items()], metric("overall_score", 0.0).alias("overall"),
+            difficulty_band(metric("instruction_complexity", 0.5)).alias("band"),
+        ),
+        "gated",
+    )
+    diverse = diversity_scores(narrow, {n: F.col(f"f_{n}") for n in features}, weights)
+    score = F.col("overall") * (1 - diversity_weight) + F.col("diversity_score") * diversity_weight
+    scored = stage(diverse.select("id", "band", "diversity_score", score.alias("selection_score")), "scored")
+    picked = balanced_selection(scored, target, shares, score=F.col("selection_score"), band=F.col("band"))
+    return lookup_join(df, picked.drop("band"), ["id"], "inner", bound=target).select(
+        *df.columns, "selection_score", "diversity_score"
     )
-    return balanced_selection(scored, target, shares, score=F.col("selection_score"))
 
 
 def filtering_record(

@@ -69,17 +69,24 @@ def read_json(spark: SparkSession, path: str, pattern: str = "*.json") -> tuple[
         F.when(is_json_document(F.col("value")), F.try_parse_json("value")).alias("doc"),
         F.col("_metadata.file_path").alias("file"),
     )
-    kind = F.coalesce(F.schema_of_variant("doc"), F.lit("VOID"))
-    data = F.try_variant_get("doc", "$.data", "variant")
+    return explode_documents(docs)
+
+
+def explode_documents(docs: DataFrame, column: str = "doc") -> tuple[DataFrame, DataFrame]:
+    """(records, rows that are not usable) of a column of VARIANT documents; the other
+    columns are kept."""
+    doc, kept = F.col(column), [c for c in docs.columns if c != column]
+    kind = F.coalesce(F.schema_of_variant(doc), F.lit("VOID"))
+    data = F.try_variant_get(doc, "$.data", "variant")
     data_kind = F.coalesce(F.schema_of_variant(data), F.lit("VOID"))
     elements = (
-        F.when(kind.startswith("ARRAY"), F.try_variant_get("doc", "$", "array<variant>"))
-        .when(kind.startswith("OBJECT") & data_kind.startswith("ARRAY"), F.try_variant_get("doc", "$.data", "array<variant>"))
-        .when(kind.startswith("OBJECT"), F.array("doc"))
+        F.when(kind.startswith("ARRAY"), F.try_variant_get(doc, "$", "array<variant>"))
+        .when(kind.startswith("OBJECT") & data_kind.startswith("ARRAY"), F.try_variant_get(doc, "$.data", "array<variant>"))
+        .when(kind.startswith("OBJECT"), F.array(doc))
     )
     split = docs.withColumn("elements", elements)
-    good = split.where(F.col("elements").isNotNull()).select(F.explode("elements").alias("record"), "file")
-    return good, split.where(F.col("elements").isNull()).select("file")
+    good = split.where(F.col("elements").isNotNull()).select(F.explode("elements").alias("record"), *kept)
+    return good, split.where(F.col("elements").isNull()).select(*kept)
 
 
 CSV_COLUMNS = T.StructType([
@@ -87,12 +94,16 @@ CSV_COLUMNS = T.StructType([
 ])
 
 
-def read_csv(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None,
+    pattern: str | None = None, multiline: bool = True,
+) -> DataFrame:
     """Flat rows of CSV or TSV files with a header. Without a schema the columns are
     named by the header and read as strings (typed later with ``try_cast``), which
-    needs no inference pass over the data."""
-    reader = _finder(spark, pattern_for(fmt)).option("header", "true").option("sep", "\t" if fmt == "tsv" else ",")
-    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", "true")
+    needs no inference pass over the data. Quoted fields may span lines, which keeps a
+    file in one task; without such fields pass ``multiline=False`` to split files."""
+    reader = _finder(spark, pattern or pattern_for(fmt)).option("header", "true").option("sep", "\t" if fmt == "tsv" else ",")
+    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", str(multiline).lower())
     return reader.schema(schema).csv(path) if schema else reader.csv(path)
 
 

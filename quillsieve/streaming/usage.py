@@ -12,7 +12,8 @@ def hourly_usage(calls: DataFrame, late: str = "10 minutes", width: str = "1 hou
     On a stream, records later than ``late`` behind the newest are dropped and a window
     is final once the watermark passes its end, so state holds open windows only.
     """
-    return calls.withWatermark("ts", late).groupBy(F.window("ts", width), "provider").agg(
+    timed = calls.withColumn("ts", F.col("ts").cast("timestamp"))
+    return timed.withWatermark("ts", late).groupBy(F.window("ts", width), "provider").agg(
         F.count(F.lit(1)).alias("total_requests"),
         F.count_if(F.col("error").isNull()).alias("successful_requests"),
         F.count_if(F.col("error").isNotNull()).alias("failed_requests"),
