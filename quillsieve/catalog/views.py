@@ -11,6 +11,7 @@ from quillsieve.functions.text import distinct_word_ratio
 from quillsieve.operators.gates import metric
 from quillsieve.operators.normalize import response_from_text
 from quillsieve.operators.scoring import aggregate_scores, score, text_scorers
+from quillsieve.session import spread
 
 RUN_TIME = "2024-05-01T12:30:15Z"
 
@@ -19,13 +20,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf: str, name: str, *keys: str) -> DataFrame:
+    """A table of long texts, spread over the cores if it has too few splits for them."""
+    return spread(table(spark, sf, name), *keys)
+
+
 def _doc_id():
     return F.concat(F.lit("d"), F.col("doc_id").cast("string"))
 
 
 def document_samples(spark: SparkSession, sf: str, split: str = "last_line") -> DataFrame:
     """One sample per document: instruction is the first line, response the whole text."""
-    docs = table(spark, sf, "documents")
+    docs = text_table(spark, sf, "documents", "doc_id")
     metadata = F.struct(
         F.col("lang").alias("domain"),
         F.least(F.lit(1.0), F.col("n_chars") / 10000.0).alias("difficulty"),
@@ -46,7 +52,7 @@ def conversation_samples(spark: SparkSession, sf: str) -> DataFrame:
     """One sample per user turn that an assistant turn follows directly. The next turn is
     found by an equi-join on (conversation, turn), which spreads a very long
     conversation over many tasks; a window per conversation would not."""
-    turns = table(spark, sf, "conversations")
+    turns = text_table(spark, sf, "conversations", "conv_id", "turn")
     following = turns.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next_text")
     )
@@ -154,10 +160,10 @@ def uniform_sql(x: str) -> str:
 
 
 def split_sql(text: str) -> str:
-    lines = f"list_filter(string_split({text}, chr(10)), lambda x: {strip_sql('x')} <> '')"
+    body = f"rtrim({text}, {WS})"
+    last = f"string_split({body}, chr(10))[-1]"
     return (
-        f"array_to_string({lines}[1:len({lines}) - 1], chr(10)) AS rationale, "
-        f"{strip_sql(f'coalesce({lines}[len({lines})], chr(32))')} AS final_answer"
+        f"rtrim(left({body}, length({body}) - length({last})), {WS}) AS rationale, {strip_sql(last)} AS final_answer"
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillsieve.fixed_values import WHITESPACE
+from quillsieve.functions.binding import let
 
 FENCE = "```"
 
@@ -20,11 +21,12 @@ def strip(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Words of the whole text, split at ASCII white space, as an array."""
-    return F.regexp_extract_all(text, F.lit(r"(\S+)"), F.lit(1))
+    spaced = F.translate(text, "\t\n\x0b\x0c\r", "     ")
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(r"\S+"))
+    return F.size(words(text))
 
 
 def char_length(text: Column) -> Column:
@@ -39,8 +41,10 @@ def sentence_count(text: Column) -> Column:
 
 def distinct_word_ratio(text: Column) -> Column:
     """Distinct words over words; 0 for text without words."""
-    w = words(text)
-    return F.when(F.size(w) > 0, F.size(F.array_distinct(w)) / F.size(w)).otherwise(F.lit(0.0))
+    return let(
+        words(text),
+        lambda w: F.when(F.size(w) > 0, F.size(F.array_distinct(w)) / F.size(w)).otherwise(F.lit(0.0)),
+    )
 
 
 def has_any(text: Column, keywords: Iterable[str]) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from quillsieve.fixed_values import SIMILARITY_THRESHOLD
 from quillsieve.functions.keys import hash60
 from quillsieve.functions.text import normalized
-from quillsieve.session import BROADCAST_ROWS, lookup_join, stage, stage_counted
+from quillsieve.session import BROADCAST_ROWS, lookup_join, spread, stage, stage_counted
 
 SHINGLE_WORDS = 3
 BUCKET_ROWS = 32
@@ -91,12 +91,19 @@ def _frequency_levels(sets: DataFrame) -> Column:
 
 
 def prefix_postings(sets: DataFrame, threshold: float) -> DataFrame:
-    """(token, id, size) for the prefix shingles of each set."""
+    """(token, id, size) for the prefix shingles of each set. A token is one number, the
+    frequency level above 57 bits of the hash, so sorting tokens gives the common
+    order. Two shingles with the same token only add a candidate."""
     levels = _frequency_levels(sets)
-    ordered = F.array_sort(F.transform("shingles", lambda x: F.struct(F.get(levels, _slot(x)).alias("f"), x.alias("x"))))
+
+    def token(x: Column) -> Column:
+        level = F.coalesce(F.get(levels, _slot(x)), F.lit(0)).cast("bigint")
+        return F.shiftleft(level, 57).bitwiseOR(F.shiftrightunsigned(x, 7))
+
+    ordered = F.sort_array(F.transform("shingles", token))
     length = F.col("size") - F.ceil(F.col("size") * threshold - _EPS).cast("int") + 1
-    return sets.select("id", "size", F.explode(F.slice(ordered, F.lit(1), length)).alias("p")).select(
-        F.col("p.x").alias("token"), "id", "size"
+    return sets.select(
+        F.explode(F.array_distinct(F.slice(ordered, F.lit(1), length))).alias("token"), "id", "size"
     )
 
 
@@ -219,7 +226,7 @@ def duplicate_clusters(
     """(id, cluster, keeper) for every row that has an exact or near duplicate; the
     cluster is named by the smallest id among its distinct texts' keepers."""
     rows, n = stage_counted(
-        df.select("id", text_key(text).alias("text_key"), score.cast("double").alias("score"), text.alias("text")),
+        spread(df, "id").select("id", text_key(text).alias("text_key"), score.cast("double").alias("score"), text.alias("text")),
         "dedup-input",
     )
     keepers = stage(exact_keepers(rows, F.col("text"), F.col("score")), "exact-keepers")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsieve.fixed_values import WHITESPACE
 from quillsieve.functions.keys import content_id
 from quillsieve.functions.text import is_json_document, strip
 from quillsieve.model import RESPONSE
@@ -15,13 +16,14 @@ _TYPED = ("domain", "difficulty", "source", "creation_timestamp", "seed_id", "in
 def response_from_text(text: Column, split: str = "copy") -> Column:
     """Response struct of a plain string. ``copy`` repeats the text in all three
     fields; ``last_line`` takes the last non-empty line as the final answer and the
-    lines before it as the rationale."""
+    text before it as the rationale."""
     if split == "copy":
         rationale = answer = text
     elif split == "last_line":
-        lines = F.filter(F.split(text, "\n"), lambda x: strip(x) != "")
-        answer = strip(F.coalesce(F.try_element_at(lines, F.lit(-1)), F.lit("")))
-        rationale = F.array_join(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), "\n")
+        body = F.rtrim(text, F.lit(WHITESPACE))
+        last = F.substring_index(body, "\n", -1)
+        answer = strip(last)
+        rationale = F.rtrim(F.left(body, F.length(body) - F.length(last)), F.lit(WHITESPACE))
     else:
         raise ValueError(f"unknown split: {split}")
     return F.when(

@@ -53,9 +53,10 @@ def answer_scorer(expected: str = "expected") -> Scorer:
 
 
 def to_map(scores: dict[str, Column]) -> Column:
-    """Map of the scores that are not null."""
-    entries = [F.when(c.isNotNull(), F.struct(F.lit(k), c.cast("double"))) for k, c in scores.items()]
-    return F.map_from_entries(F.array_compact(F.array(*entries)))
+    """Map of the scores that are not null; each score expression occurs once."""
+    names = F.array(*[F.lit(n) for n in scores])
+    values = F.array(*[c.cast("double") for c in scores.values()])
+    return F.map_filter(F.map_from_arrays(names, values), lambda _, v: v.isNotNull())
 
 
 def _empty() -> Column:

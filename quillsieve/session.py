@@ -102,3 +102,13 @@ def lookup_join(
     salted = df.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(_SALTS)).cast("int"))
     repeated = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     return salted.join(repeated, [*on, salt], how).drop(salt)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a small input by hash of the keys when it has fewer partitions than there
+    are cores (say, one file with one row group). An input with enough partitions,
+    so any large one, is returned as it is and not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
