@@ -72,17 +72,24 @@ def last_number(text: Column) -> Column:
     return F.try_element_at(numbers, F.lit(-1)).try_cast("double")
 
 
-def is_json_document(text: Column) -> Column:
-    """True if the whole text is one JSON value.
+def json_document(text: Column) -> Column:
+    """The whole text as one JSON value (VARIANT), null if it is anything else.
 
     ``try_parse_json`` stops after the first value and accepts trailing text, so the
     text is wrapped in an array with a sentinel behind it, which must parse as the
-    second and last element.
+    second and last element. The text is parsed once.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(",7331]")))
-    sentinel = F.try_variant_get(wrapped, "$[1]", "bigint")
-    beyond = F.try_variant_get(wrapped, "$[2]", "variant")
-    return F.coalesce((sentinel == 7331) & beyond.isNull(), F.lit(False))
+    def whole(v: Column) -> Column:
+        sentinel = F.try_variant_get(v, "$[1]", "bigint")
+        beyond = F.try_variant_get(v, "$[2]", "variant")
+        return F.when((sentinel == 7331) & beyond.isNull(), F.try_variant_get(v, "$[0]", "variant"))
+
+    return let(F.try_parse_json(F.concat(F.lit("["), text, F.lit(",7331]"))), whole)
+
+
+def is_json_document(text: Column) -> Column:
+    """True if the whole text is one JSON value."""
+    return json_document(text).isNotNull()
 
 
 def indented_lines(text: Column) -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillsieve.fixed_values import TEMPLATES
-from quillsieve.functions.text import is_json_document, strip
+from quillsieve.functions.binding import let
+from quillsieve.functions.text import json_document, strip
 from quillsieve.model import RESPONSE
 from quillsieve.operators.normalize import response_from_text
 from quillsieve.session import lookup_join
@@ -50,7 +51,7 @@ def read_jsonl(spark: SparkSession, path: str, pattern: str = "*.jsonl", mode: s
     lines = _finder(spark, pattern).text(path).select(
         F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")
     ).where(strip(F.col("line")) != "")
-    parsed = lines.withColumn("record", F.when(is_json_document(F.col("line")), F.try_parse_json("line")))
+    parsed = lines.withColumn("record", json_document(F.col("line")))
     bad = parsed.where(F.col("record").isNull()).select("line", "file")
     good = parsed.where(F.col("record").isNotNull()).select("record", "line", "file")
     if mode == "file":
@@ -65,9 +66,8 @@ def read_json(spark: SparkSession, path: str, pattern: str = "*.json") -> tuple[
     object with a list under ``data`` the elements of that list, any other object one
     record; other documents are not usable. A document is read by one task, so this
     is for many files of moderate size; large data belongs in JSONL."""
-    docs = _finder(spark, pattern).option("wholetext", "true").text(path).select(
-        F.when(is_json_document(F.col("value")), F.try_parse_json("value")).alias("doc"),
-        F.col("_metadata.file_path").alias("file"),
+    docs = _finder(spark, pattern).text(path, wholetext=True).select(
+        json_document(F.col("value")).alias("doc"), F.col("_metadata.file_path").alias("file")
     )
     return explode_documents(docs)
 
@@ -75,23 +75,23 @@ def read_json(spark: SparkSession, path: str, pattern: str = "*.json") -> tuple[
 def explode_documents(docs: DataFrame, column: str = "doc") -> tuple[DataFrame, DataFrame]:
     """(records, rows that are not usable) of a column of VARIANT documents; the other
     columns are kept."""
-    doc, kept = F.col(column), [c for c in docs.columns if c != column]
-    kind = F.coalesce(F.schema_of_variant(doc), F.lit("VOID"))
-    data = F.try_variant_get(doc, "$.data", "variant")
-    data_kind = F.coalesce(F.schema_of_variant(data), F.lit("VOID"))
-    elements = (
-        F.when(kind.startswith("ARRAY"), F.try_variant_get(doc, "$", "array<variant>"))
-        .when(kind.startswith("OBJECT") & data_kind.startswith("ARRAY"), F.try_variant_get(doc, "$.data", "array<variant>"))
-        .when(kind.startswith("OBJECT"), F.array(doc))
-    )
-    split = docs.withColumn("elements", elements)
-    good = split.where(F.col("elements").isNotNull()).select(F.explode("elements").alias("record"), *kept)
-    return good, split.where(F.col("elements").isNull()).select(*kept)
+    kept = [c for c in docs.columns if c != column]
 
+    def elements(doc: Column) -> Column:
+        kind = F.coalesce(F.schema_of_variant(doc), F.lit("VOID"))
+        data = F.try_variant_get(doc, "$.data", "variant")
+        data_kind = F.coalesce(F.schema_of_variant(data), F.lit("VOID"))
+        return (
+            F.when(kind.startswith("ARRAY"), F.try_variant_get(doc, "$", "array<variant>"))
+            .when(kind.startswith("OBJECT") & data_kind.startswith("ARRAY"), F.try_variant_get(doc, "$.data", "array<variant>"))
+            .when(kind.startswith("OBJECT"), F.array(doc))
+        )
 
-CSV_COLUMNS = T.StructType([
-    T.StructField(c, T.StringType()) for c in ("id", "instruction", "response", "domain", "difficulty", "source")
-])
+    split = docs.select(*kept, let(F.col(column), elements).alias("__elements"))
+    # explode_outer and a filter behind it: a plain explode, or a filter in front of it,
+    # would parse each document again
+    good = split.select(F.explode_outer("__elements").alias("record"), *kept).where(F.col("record").isNotNull())
+    return good, split.where(F.col("__elements").isNull()).select(*kept)
 
 
 def read_csv(
@@ -152,7 +152,7 @@ def read_templates(spark: SparkSession, path: str | None = None) -> dict[str, st
     the driver, which compiles them into the prompt expression."""
     if path is None:
         return dict(TEMPLATES)
-    files = _finder(spark, "*.{json,yaml,yml,txt}").option("wholetext", "true").text(path).select(
+    files = _finder(spark, "*.{json,yaml,yml,txt}").text(path, wholetext=True).select(
         F.regexp_extract("_metadata.file_path", r"([^/]+)\.([A-Za-z]+)$", 1).alias("name"),
         F.lower(F.regexp_extract("_metadata.file_path", r"([^/]+)\.([A-Za-z]+)$", 2)).alias("kind"), "value",
     )

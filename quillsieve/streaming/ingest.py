@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quillsieve.functions.text import is_json_document, strip
+from quillsieve.functions.text import json_document, strip
 from quillsieve.operators.normalize import ensure_id
 from quillsieve.operators.rules import content_reasons, reasons, schema_reasons
 from quillsieve.sources.readers import record_to_sample
@@ -16,10 +16,7 @@ def check_lines(lines: DataFrame, rules: dict | None = None) -> DataFrame:
     """Raw lines (column ``value``; other columns are kept) to typed samples with reject
     reasons; works on batches and streams."""
     kept = [c for c in lines.columns if c != "value"]
-    valid_json = is_json_document(F.col("value"))
-    parsed = lines.where(strip(F.col("value")) != "").withColumn(
-        "record", F.when(valid_json, F.try_parse_json("value"))
-    )
+    parsed = lines.where(strip(F.col("value")) != "").withColumn("record", json_document(F.col("value")))
     has_metadata = F.try_variant_get("record", "$.metadata", "variant").isNotNull()
     wide = parsed.select(
         "value", *kept, F.col("record").isNull().alias("__broken"), has_metadata.alias("__has_metadata"),
