@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillsieve.fixed_values import ENSEMBLE_WEIGHTS
 from quillsieve.operators.ranking import top_per_group
+from quillsieve.session import lookup_join, stage
 
 
 def instruction_following_difficulty(losses: DataFrame) -> DataFrame:
@@ -44,5 +45,8 @@ def ensemble_scores(df: DataFrame, scores: DataFrame, weights: dict[str, float]
 
 
 def filter_by_ensemble(df: DataFrame, target: int = 800) -> DataFrame:
-    """The ``target`` rows with the highest ensemble score; rows without one come last."""
-    return top_per_group(df, target, F.col("ensemble_score"))
+    """The ``target`` rows with the highest ensemble score; rows without one come last.
+    Ids and scores are ranked apart from the wide rows."""
+    narrow = stage(df.select("id", "ensemble_score"), "ensemble")
+    picked = top_per_group(narrow, target, F.col("ensemble_score")).select("id")
+    return lookup_join(df, picked, ["id"], "left_semi", bound=target)

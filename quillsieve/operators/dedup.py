@@ -35,6 +35,7 @@ BUCKET_ROWS = 32
 _SLOTS = 65_536
 _PIVOTS = 4
 _SET_ROWS = 500  # sets are wide (up to one shingle per word), so few are broadcast
+_COLD_PAIRS = 1_000_000  # with fewer pairs no key can be hot enough to matter
 _EPS = 1e-9
 
 
@@ -51,7 +52,10 @@ def _best(score: Column, id_col: str = "id") -> Column:
 def exact_keepers(df: DataFrame, text: Column, score: Column) -> DataFrame:
     """One row per distinct text: (text_key, keeper, copies). Only key, score and id are
     shuffled, combined first, so a text that fills a third of the table is cheap."""
-    rows = df.select(text_key(text).alias("text_key"), score.cast("double").alias("score"), "id")
+    return _keepers(df.select(text_key(text).alias("text_key"), score.cast("double").alias("score"), "id"))
+
+
+def _keepers(rows: DataFrame) -> DataFrame:
     grouped = rows.groupBy("text_key").agg(_best(F.col("score")).alias("b"), F.count(F.lit(1)).alias("copies"))
     return grouped.select("text_key", F.col("b.id").alias("keeper"), "copies")
 
@@ -108,13 +112,17 @@ def prefix_postings(sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Add the Jaccard similarity ``jaccard`` to distinct pairs (a, b). The pairs are
-    staged and counted, so the sets of the b side are broadcast only if they are few."""
+    """Add the Jaccard similarity ``jaccard`` to distinct pairs (a, b). A pivot can be the b
+    side of very many pairs, so large pair tables take the join that treats hot keys
+    apart."""
     pairs, n = stage_counted(pairs, "pairs")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    wanted = right.join(pairs.select("b").distinct(), "b", "left_semi")
-    both = lookup_join(pairs.join(left, "a"), wanted, ["b"], "inner", salt_on="a", max_rows=_SET_ROWS, bound=n)
+    if n > _SET_ROWS:
+        right = right.join(pairs.select("b").distinct(), "b", "left_semi")
+    both = lookup_join(
+        pairs.join(left, "a"), right, ["b"], "inner", max_rows=_SET_ROWS, hot_share=_SET_ROWS
+    ) if n > _COLD_PAIRS else pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.withColumn("jaccard", common / (F.size("sa") + F.size("sb") - common)).drop("sa", "sb")
 
@@ -154,7 +162,7 @@ def similar_edges(
             "token", F.col("id").alias("b"), F.col("size").alias("nb")
         )
         others = active.select("token", F.col("id").alias("a"), F.col("size").alias("na"))
-        met = lookup_join(others, pivots, ["token"], "inner", salt_on="a", bound=rows).where(
+        met = lookup_join(others, pivots, ["token"], "inner", bound=rows).where(
             F.col("a") != F.col("b")
         )
         # sizes too different for a distance of twice the limit: too far to matter
@@ -166,7 +174,7 @@ def similar_edges(
             F.min("d").alias("nearest_outside")
         )
         near = lookup_join(
-            distance.where(F.col("d") <= limit + _EPS), ring, ["token", "b"], salt_on="a", bound=rows
+            distance.where(F.col("d") <= limit + _EPS), ring, ["token", "b"], bound=rows
         )
         settled = near.where(
             F.col("nearest_outside").isNull() | (F.col("d") < F.col("nearest_outside") - limit - _EPS)
@@ -199,12 +207,12 @@ def connected_components(edges: DataFrame, rows: int) -> DataFrame:
     seen = None
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = lookup_join(both, smallest(both), ["u"], "inner", salt_on="v", bound=2 * rows).where("v > u").select(
+        large = lookup_join(both, smallest(both), ["u"], "inner", bound=2 * rows).where("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v")
         ).distinct()
         if rows > BROADCAST_ROWS:
             large = stage(large, "components")
-        joined = lookup_join(large, smallest(large), ["u"], "inner", salt_on="v", bound=rows)
+        joined = lookup_join(large, smallest(large), ["u"], "inner", bound=rows)
         links, rows = stage_counted(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             joined.select("u", F.col("m").alias("v"))
         ).where("u <> v").distinct(), "components")
@@ -225,16 +233,17 @@ def duplicate_clusters(
 ) -> DataFrame:
     """(id, cluster, keeper) for every row that has an exact or near duplicate; the
     cluster is named by the smallest id among its distinct texts' keepers."""
-    rows, n = stage_counted(
-        spread(df, "id").select("id", text_key(text).alias("text_key"), score.cast("double").alias("score"), text.alias("text")),
-        "dedup-input",
+    df = spread(df, "id")
+    narrow, n = stage_counted(
+        df.select("id", text_key(text).alias("text_key"), score.cast("double").alias("score")), "text-keys"
     )
-    keepers = stage(exact_keepers(rows, F.col("text"), F.col("score")), "exact-keepers")
-    unique = rows.join(keepers.select(F.col("keeper").alias("id")), "id", "left_semi")
+    keepers = stage(_keepers(narrow), "exact-keepers")
+    # leave out the extra copies; the whole texts are shuffled only if those are many
+    copies = lookup_join(narrow, keepers.where("copies > 1"), ["text_key"], "inner").where("id <> keeper").select("id")
+    unique = lookup_join(df.select("id", text.alias("text")), copies, ["id"], "left_anti")
     sets = stage(shingle_sets(unique, F.col("text")), "shingles")
     edges, found = similar_edges(sets, threshold, bucket_rows)
     component = connected_components(edges, found)
-    narrow = rows.select("id", "text_key", "score")
     tagged = lookup_join(narrow, keepers, ["text_key"], "inner", bound=n)
     tagged = lookup_join(tagged, component.withColumnRenamed("id", "keeper"), ["keeper"], "left", bound=2 * found)
     tagged = tagged.where((F.col("copies") > 1) | F.col("component").isNotNull())

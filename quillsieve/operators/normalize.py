@@ -9,6 +9,7 @@ from quillsieve.fixed_values import WHITESPACE
 from quillsieve.functions.keys import content_id
 from quillsieve.functions.text import is_json_document, strip
 from quillsieve.model import RESPONSE
+from quillsieve.session import lookup_join
 
 _TYPED = ("domain", "difficulty", "source", "creation_timestamp", "seed_id", "initial_quality")
 
@@ -144,7 +145,7 @@ def with_seed_lineage(responses: DataFrame, seeds: DataFrame, model: str, create
         F.lit(None).cast("double").alias("initial_quality"),
         F.lit(None).cast("map<string,string>").alias("extra"),
     )
-    joined = responses.join(origin, "seed_id", "left")
+    joined = lookup_join(responses, origin, ["seed_id"])
     return joined.select(*[c for c in responses.columns if c != "seed_id"], metadata.alias("metadata"))
 
 

@@ -166,7 +166,7 @@ def filtering_record(
         .when(~F.coalesce(passes, F.lit(False)), "below_quality_threshold")
         .otherwise("outside_quota")
     )
-    return candidates.join(chosen, "id", "left").withColumn("filtering", F.struct(
+    return lookup_join(candidates, chosen, ["id"]).withColumn("filtering", F.struct(
         F.coalesce("__selected", F.lit(False)).alias("selected"),
         reason.alias("reason"),
         F.col("__score").alias("selection_score"),

@@ -21,6 +21,8 @@ def build_session(app: str = "quillsieve", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
     }
     settings.update(conf)
@@ -71,7 +73,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 # Largest lookup side that is broadcast, in rows. Lookup rows are narrow (a key and
 # a few numbers or short strings), so this is a few tens of MB at most.
 BROADCAST_ROWS = 200_000
-_SALTS = 32
+# A key with more than one part in this many of all rows is hot; so there are at most
+# this many hot keys.
+HOT_SHARE = 2000
 
 
 def lookup_join(
@@ -79,29 +83,34 @@ def lookup_join(
     lookup: DataFrame,
     on: list[str],
     how: str = "left",
-    salt_on: str = "id",
     max_rows: int = BROADCAST_ROWS,
     bound: int | None = None,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
-    """Join a (usually large) frame to a lookup table, usually with one row per key.
+    """Join a (usually large) frame to a lookup table with one or few rows per key.
 
     The lookup is staged and counted: up to ``max_rows`` rows it is broadcast.
-    Beyond that both sides are shuffled on the key plus a salt (a hash of
-    ``salt_on``, else of the first other column), the lookup being repeated per salt, so one key that holds a third
-    of the rows is spread over many tasks. Inner, left, left_semi and left_anti only.
     ``bound`` is a known upper limit of the lookup's rows (for instance the counted
     rows of the table it is grouped from); within ``max_rows`` it replaces the count.
+
+    A larger lookup is joined by a shuffle, except for hot keys. Those are the keys with
+    more than ``1/hot_share`` of the rows of ``df``, at most ``hot_share`` of them, so
+    their lookup rows are few and are broadcast; a key that holds a third of the rows
+    never meets in one task. Inner, left, left_semi and left_anti joins only.
     """
     if bound is not None and bound <= max_rows:
         return df.join(F.broadcast(lookup), on, how)
     lookup, rows = stage_counted(lookup, "lookup")
     if rows <= max_rows:
         return df.join(F.broadcast(lookup), on, how)
-    salt = "__salt"
-    spread_by = salt_on if salt_on in df.columns else next(c for c in df.columns if c not in on)
-    salted = df.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(_SALTS)).cast("int"))
-    repeated = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    return salted.join(repeated, [*on, salt], how).drop(salt)
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    limit = df.count() / hot_share
+    hot_keys = counts.where(F.col("__n") > limit).select(*on).dropna().collect()
+    if not hot_keys:
+        return df.join(lookup, on, how)
+    hot = F.broadcast(df.sparkSession.createDataFrame(hot_keys, df.select(*on).schema))
+    warm = df.join(hot, on, "left_semi").join(F.broadcast(lookup.join(hot, on, "left_semi")), on, how)
+    return warm.unionByName(df.join(hot, on, "left_anti").join(lookup, on, how))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -55,7 +55,7 @@ def read_jsonl(spark: SparkSession, path: str, pattern: str = "*.jsonl", mode: s
     bad = parsed.where(F.col("record").isNull()).select("line", "file")
     good = parsed.where(F.col("record").isNotNull()).select("record", "line", "file")
     if mode == "file":
-        good = lookup_join(good, bad.select("file").distinct(), ["file"], "left_anti", salt_on="line")
+        good = lookup_join(good, bad.select("file").distinct(), ["file"], "left_anti")
     elif mode != "row":
         raise ValueError(f"unknown mode: {mode}")
     return good, bad

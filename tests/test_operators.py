@@ -157,7 +157,7 @@ def test_latest_per_group(scored):
     assert _ids(out) == expected
 
 
-def test_salted_lookup_join(scored):
+def test_lookup_join_with_hot_keys(scored):
     lookup = scored.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     plain = sorted(map(tuple, lookup_join(scored, lookup, ["grp"]).select("id", "n").collect()))
     assert sorted(map(tuple, lookup_join(scored, lookup, ["grp"], max_rows=1).select("id", "n").collect())) == plain
@@ -298,8 +298,7 @@ def _brute(texts, threshold):
     return sorted(sorted(g) for g in groups.values() if len(g) > 1)
 
 
-@pytest.mark.parametrize("threshold", [0.85, 0.7])
-@pytest.mark.parametrize("bucket_rows", [1000, 6])
+@pytest.mark.parametrize("threshold, bucket_rows", [(0.85, 1000), (0.85, 6), (0.7, 6)])
 def test_near_duplicates_equal_brute_force(spark, threshold, bucket_rows):
     texts = _variants()
     df = spark.createDataFrame([(f"{i:04d}", t, float(i % 7)) for i, t in enumerate(texts)], "id string, text string, score double")
