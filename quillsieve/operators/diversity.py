@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from quillsieve.fixed_values import DIVERSITY_WEIGHTS
 from quillsieve.operators.gates import metric
-from quillsieve.session import lookup_join
+from quillsieve.session import lookup_join, stage_counted
 
 _ORDER = 12
 _WIDTH = 0.25
@@ -60,16 +60,21 @@ def _offset(value: Column, cell: Column, bandwidth: float) -> Column:
     return value / F.lit(bandwidth) - (cell + F.lit(0.5)) * F.lit(_WIDTH)
 
 
-def kernel_cells(values: DataFrame, value: str, bandwidth: float) -> DataFrame:
-    """Expansion coefficients ``l0..l12`` per occupied cell for one numeric column."""
-    cells = values.withColumn("cell", _cell(F.col(value), bandwidth)).withColumn(
-        "u", _offset(F.col(value), F.col("cell"), bandwidth)
-    )
+def kernel_cells(values: DataFrame, bandwidths: dict[str, float]) -> DataFrame:
+    """Expansion coefficients ``l0..l12`` per column and occupied cell, for all numeric
+    columns in one pass: rows (name, cell, l0..l12)."""
+    entries = []
+    for name, h in bandwidths.items():
+        cell = _cell(F.col(name), h)
+        entries.append(F.struct(F.lit(name).alias("name"), cell.alias("cell"), _offset(F.col(name), cell, h).alias("u")))
+    cells = values.select(F.inline(F.array(*entries)))
     power, moments = F.lit(1.0), []
     for i in range(_ORDER + 1):
         moments.append((F.sum(power) / math.factorial(i)).alias(f"m{i}"))
         power = power * F.col("u")
-    sources = cells.groupBy("cell").agg(*moments).select("cell", F.array(*[f"m{i}" for i in range(_ORDER + 1)]).alias("m"))
+    sources = cells.groupBy("name", "cell").agg(*moments).select(
+        "name", "cell", F.array(*[f"m{i}" for i in range(_ORDER + 1)]).alias("m")
+    )
     spread = sources.withColumn("k", F.explode(_hermite_table())).withColumn("target", F.col("cell") + F.col("k.q"))
     signs = F.array(*[F.lit((-1.0) ** j / math.factorial(j)) for j in range(_ORDER + 1)])
 
@@ -78,9 +83,9 @@ def kernel_cells(values: DataFrame, value: str, bandwidth: float) -> DataFrame:
         products = F.zip_with(F.slice("k.a", j + 1, length), F.slice("m", F.lit(1), length), lambda x, y: x * y)
         return sign * F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
-    terms = spread.select("target", (F.col("k.q") == 0).alias("own"), F.transform(signs, coefficient).alias("t"))
+    terms = spread.select("name", "target", (F.col("k.q") == 0).alias("own"), F.transform(signs, coefficient).alias("t"))
     sums = [F.sum(F.get("t", j)).alias(f"l{j}") for j in range(_ORDER + 1)]
-    grouped = terms.groupBy(F.col("target").alias("cell")).agg(*sums, F.max("own").alias("occupied"))
+    grouped = terms.groupBy("name", F.col("target").alias("cell")).agg(*sums, F.max("own").alias("occupied"))
     return grouped.where("occupied").drop("occupied")
 
 
@@ -110,10 +115,13 @@ def numeric_diversity(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
         s = facts[f"s{i}"] if n > 1 else None
         if s and s > 0:
             widths[i] = s * n ** (-0.2)
+    if widths:
+        table, rows = stage_counted(kernel_cells(df, {f"__v{i}": h for i, h in widths.items()}), "cells")
     for i, h in widths.items():
-        cells = kernel_cells(df.select(f"__v{i}"), f"__v{i}", h)
-        cells = cells.select(F.col("cell").alias(f"__c{i}"), *[F.col(f"l{j}").alias(f"__{i}l{j}") for j in range(_ORDER + 1)])
-        df = lookup_join(df.withColumn(f"__c{i}", _cell(F.col(f"__v{i}"), h)), cells, [f"__c{i}"])
+        cells = table.where(F.col("name") == f"__v{i}").select(
+            F.col("cell").alias(f"__c{i}"), *[F.col(f"l{j}").alias(f"__{i}l{j}") for j in range(_ORDER + 1)]
+        )
+        df = lookup_join(df.withColumn(f"__c{i}", _cell(F.col(f"__v{i}"), h)), cells, [f"__c{i}"], bound=rows)
     density = {i: _density(F.col(f"__v{i}"), F.col(f"__c{i}"), h, f"__{i}") for i, h in widths.items()}
     peaks = df.agg(*[F.max(d).alias(f"p{i}") for i, d in density.items()]).first() if density else None
     for i, name in enumerate(names):

@@ -162,19 +162,23 @@ def exact_quantiles(
     group: Column,
     probabilities: tuple[float, ...] = (0.5,),
     in_place: int = IN_PLACE_ROWS,
+    sizes: dict | None = None,
 ) -> dict:
     """Exact quantiles, linearly interpolated, as {group: [value, ...]}.
 
     A group of at most ``in_place`` rows uses the built-in ``percentile``; a larger
     one is narrowed to the two neighbouring order statistics, so the table of its
-    distinct values is never held in one task. Nulls are ignored.
+    distinct values is never held in one task. Nulls are ignored. ``sizes`` may give the
+    known {group: (rows, min, max)} of the values to save the pass that finds them.
     """
     rows = df.select(group.alias(_G), value.cast("double").alias(_K)).where(F.col(_K).isNotNull())
-    sizes = rows.groupBy(_G).agg(
-        F.count(F.lit(1)).alias("n"), F.min(_K).alias("lo"), F.max(_K).alias("hi")
-    ).collect()
-    small = [r[_G] for r in sizes if r["n"] <= in_place]
-    big = [r for r in sizes if r["n"] > in_place]
+    if sizes is None:
+        found_sizes = rows.groupBy(_G).agg(
+            F.count(F.lit(1)).alias("n"), F.min(_K).alias("lo"), F.max(_K).alias("hi")
+        ).collect()
+        sizes = {r[_G]: (r["n"], r["lo"], r["hi"]) for r in found_sizes}
+    small = [g for g, (n, _, _) in sizes.items() if n <= in_place]
+    big = [(g, *size) for g, size in sizes.items() if size[0] > in_place]
     out: dict = {}
     if small:
         picked = rows if not big else rows.where(F.col(_G).isin(small))
@@ -182,14 +186,13 @@ def exact_quantiles(
         for r in picked.groupBy(_G).agg(F.percentile(_K, listed).alias("q")).collect():
             out[r[_G]] = [float(v) for v in r["q"]]
     spans, spots = [], {}
-    for r in big:
+    for g, n, low, high in big:
         for i, p in enumerate(probabilities):
-            place = p * (r["n"] - 1)
+            place = p * (n - 1)
             below = int(place)
-            above = min(below + 1, r["n"] - 1)
-            spots[(r[_G], i)] = place - below
-            spans.append(_Span(r[_G], 2 * i, below + 1, r["n"], r["lo"], r["hi"]))
-            spans.append(_Span(r[_G], 2 * i + 1, above + 1, r["n"], r["lo"], r["hi"]))
+            spots[(g, i)] = place - below
+            spans.append(_Span(g, 2 * i, below + 1, n, low, high))
+            spans.append(_Span(g, 2 * i + 1, min(below + 1, n - 1) + 1, n, low, high))
     if spans:
         # stop_rows=0: go on until each span is a single value
         found = {(s.group, s.slot): s.lo for s in _narrow(rows, _K, "double", spans, 0)}

@@ -73,7 +73,8 @@ def basic_statistics(
         F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
         F.stddev_pop("value").alias("std"), F.count("value").alias("count"),
     ).collect()}
-    medians = exact_quantiles(long, F.col("value"), F.col("metric"), in_place=in_place)
+    sizes = {m: (r["count"], r["min"], r["max"]) for m, r in moments.items()}
+    medians = exact_quantiles(long, F.col("value"), F.col("metric"), in_place=in_place, sizes=sizes)
     rows = []
     for n in values:
         r = moments.get(n)
