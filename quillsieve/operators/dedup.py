@@ -116,13 +116,17 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     side of very many pairs, so large pair tables take the join that treats hot keys
     apart."""
     pairs, n = stage_counted(pairs, "pairs")
+    if n <= BROADCAST_ROWS:  # shuffle only the sets that some pair needs
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+        sets = sets.join(F.broadcast(needed), "id", "left_semi")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    if n > _SET_ROWS:
+    both = pairs.join(left, "a")
+    if n <= _COLD_PAIRS:
+        both = both.join(right, "b")
+    else:
         right = right.join(pairs.select("b").distinct(), "b", "left_semi")
-    both = lookup_join(
-        pairs.join(left, "a"), right, ["b"], "inner", max_rows=_SET_ROWS, hot_share=_SET_ROWS
-    ) if n > _COLD_PAIRS else pairs.join(left, "a").join(right, "b")
+        both = lookup_join(both, right, ["b"], "inner", max_rows=_SET_ROWS, hot_share=_SET_ROWS)
     common = F.size(F.array_intersect("sa", "sb"))
     return both.withColumn("jaccard", common / (F.size("sa") + F.size("sb") - common)).drop("sa", "sb")
 
@@ -196,16 +200,15 @@ def connected_components(edges: DataFrame, rows: int) -> DataFrame:
     """(id, component) with the smallest id as component, for every node of the edges,
     of which there are at most ``rows``.
 
-    Alternates two steps until nothing changes: every node links its larger
+    Alternates two steps until only stars are left: every node links its larger
     neighbours to its smallest one, then its smaller neighbours. Minima are combined
-    aggregates; a node with very many neighbours is joined with a salt.
+    aggregates; nodes with very many neighbours are joined apart as hot keys.
     """
     def smallest(pairs: DataFrame) -> DataFrame:
         return pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
 
     links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    seen = None
-    while True:
+    while rows:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = lookup_join(both, smallest(both), ["u"], "inner", bound=2 * rows).where("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v")
@@ -216,10 +219,12 @@ def connected_components(edges: DataFrame, rows: int) -> DataFrame:
         links, rows = stage_counted(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             joined.select("u", F.col("m").alias("v"))
         ).where("u <> v").distinct(), "components")
-        state = (rows, links.agg(F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()["x"]) if rows else (0, None)
-        if seen == state or not rows:
+        ends = links.select(F.inline(F.array(
+            F.struct(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+            F.struct(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+        ))).groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if ends.where("up > 1 OR (up = 1 AND down = 1)").isEmpty():
             break
-        seen = state
     members = links.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return members.unionByName(links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
