@@ -7,7 +7,7 @@ size / weight, those up to some rank stand at their cap and the rest share what
 
 A source's repetitions are a whole number for every document and one more for some: a
 seeded order of its documents is followed until the words still wanted are reached, to
-within half a document. The order is found in two steps, counts of 65,536 hash cells and
+within half a document. The order is found in two steps, sizes of 4,096 hash cells and
 then the documents of one cell, so a source with a third of all rows stays spread out.
 
 Null and empty texts have size 0. Equal rows are told apart only by their place in the
@@ -23,7 +23,7 @@ from quillsieve.session import lookup_join, stage
 
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
-CELLS = 65_536
+CELLS = 4_096
 SEED = "mix"
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -71,7 +71,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The mix of a staged table (id, source, size, draw, and any other columns)."""
-    cell = F.shiftright("draw", 16).alias("cell")
+    cell = F.shiftright("draw", 32 - CELLS.bit_length() + 1).alias("cell")
     cells = stage(sized.groupBy("source", cell).agg(F.sum("size").alias("cell_size")), "mix-cells")
     sources = targets(cells.groupBy("source").agg(F.sum("cell_size").alias("source_size")), weights, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint")
