@@ -49,7 +49,7 @@ class SharedFile:
         self._fs.move(self._temporary, self._path)
 
 
-def slices(batch: pa.RecordBatch, limit: int = 8 << 20, column: int = 1) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, limit: int = 2 << 20, column: int = 1) -> Iterator[pa.RecordBatch]:
     """A batch in parts with texts of about ``limit`` bytes, at least one row each."""
     sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64))
     at = 0

@@ -34,7 +34,7 @@ WINDOW = 10
 # Words of benchmark text that one pass takes along: about 50 MB in a task.
 BLOCK_WORDS = 1_000_000
 # Text of one suffix array.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 _EXPAND = 2_000_000
 _FOLD = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
