@@ -14,10 +14,12 @@ end id only; rows with a null id come first; rows that repeat an id each give a
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,10 @@ READ_BYTES = 4 << 20
 _MASK_DELTA = 0xA282EAD8  # fixed value of the format
 _POLYNOMIAL = 0x82F63B78  # CRC-32C, reflected
 _BLOCK = 256
-_CACHE_WORDS = 150_000
+_CACHE_WORDS = 250_000
+_JOINED = 1_000
+# ASCII punctuation behind a letter that stays one letter in lower case.
+_PUNCTUATION = re.compile(r"[!-/:-@\[-`{-~](?<=[A-Za-zÀ-ÖØ-öø-ÿ].)")
 
 
 @lru_cache(maxsize=1)
@@ -110,8 +115,14 @@ def unframe(data: bytes, offsets: list[int]) -> list[bytes]:
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizer that drops white space: a text's ids are those of its
-    pieces between spaces and line breaks, and the pieces' ids are remembered."""
+    """Ids of whole texts by a tokenizer that drops white space and ends words with ``</w>``.
+
+    A text's ids are those of its pieces between spaces, line breaks and the places where ASCII
+    punctuation follows a Latin letter, as no word of the tokenizer reaches past these. The
+    pieces' ids are remembered. New words of letters only are encoded many at a time and cut
+    at the word ends; should the count of ends differ from that of words, and for all other
+    pieces, each is encoded alone.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share out the cores
@@ -119,21 +130,47 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.kind = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
+    @staticmethod
+    def pieces(text: str) -> list[str]:
+        if "<|" not in text:  # else a special token may stand there, which must stay whole
+            text = _PUNCTUATION.sub(r" \g<0>", text)
+            if text.isascii():
+                text = text.lower()
+        return text.replace("\n", " ").split(" ")
+
+    def _each(self, pieces: list[str]) -> Iterator[np.ndarray]:
+        for found in self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
+            yield np.array(found.ids, self.kind)
+
+    def _learn(self, fresh: list[str]) -> None:
+        words = [p for p in fresh if p.isalpha()]
+        alone = [p for p in fresh if not p.isalpha()]
+        parts = [words[at : at + _JOINED] for at in range(0, len(words), _JOINED)]
+        for part, ids in zip(parts, self._each([" ".join(part) for part in parts]), strict=True):
+            cuts = ((np.flatnonzero(self._ends[ids]) + 1) * self.kind.itemsize).tolist()
+            if len(cuts) != len(part):
+                alone += part
+                continue
+            data = ids.tobytes()
+            self._known.update(zip(part, map(data.__getitem__, map(slice, [0, *cuts], cuts)), strict=True))
+        for at in range(0, len(alone), _JOINED):
+            part = alone[at : at + _JOINED]
+            self._known.update(zip(part, (ids.tobytes() for ids in self._each(part)), strict=True))
+
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """The ids of each text and the end id, in the width of the vocabulary."""
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self._known
-        if len(known) > _CACHE_WORDS:
-            known.clear()
-        fresh = [p for p in dict.fromkeys(p for own in pieces for p in own) if p not in known]
-        for at in range(0, len(fresh), 2_000):
-            part = fresh[at : at + 2_000]
-            for piece, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[piece] = np.array(found.ids, self.kind).tobytes()
+        pieces = [self.pieces(t) for t in texts]
+        used = set(chain.from_iterable(pieces))
+        if len(self._known) > _CACHE_WORDS:  # the pieces at hand stay, frequent ones among them
+            self._known = {p: self._known[p] for p in used & self._known.keys()}
+        self._learn(list(used.difference(self._known)))
         end = np.array([end_id], self.kind).tobytes()
-        return [b"".join(map(known.__getitem__, own)) + end for own in pieces]
+        return [b"".join(map(self._known.__getitem__, own)) + end for own in pieces]
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:

@@ -95,6 +95,19 @@ def test_tokens_of_tricky_rows(spark, tricky, empty, clashing):
     assert rows(records.token_table(empty, tokenizer_path())) == []
 
 
+def test_pieces_give_the_ids_of_whole_texts(monkeypatch):
+    monkeypatch.setattr(records, "_CACHE_WORDS", 50)
+    draw = random.Random(4)
+    marks = ["a", "b", "S", "I", "\u0130", "'", "'s", "'S", "'re", "!", "_", "-", "^", "=", "<", ">", "|", "\u00c9", "\u00df", "\u00ff",
+             "\u0301", "\u030c", "\u0307", "\u0338", "J", "<|endoftext|>", "1", "\u00bd", " ", "\n", "\t", "\u00a0", "\u2028", "\u03a3",
+             "\u4e2d", "\u1100", "\u1161", "\u2026", "\U0001f600", "\x00", "\u00aa", "\ufb01"]
+    texts = ["".join(draw.choices(marks, k=draw.randint(0, 14))) for _ in range(5_000)]
+    encoder = records.Encoder(tokenizer_path())
+    found = [ids for at in range(0, len(texts), 250) for ids in encoder.encode(texts[at : at + 250], 2)]
+    whole = encoder._tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert found == [struct.pack(f"<{len(e.ids) + 1}H", *e.ids, 2) for e in whole]
+
+
 def test_records_in_any_order(spark, tricky):
     folder = stage_path(spark, "records-test")
     index = records.write_records(tricky, folder, tokenizer_path(), shards=3)
