@@ -50,15 +50,15 @@ def _(spark, sf):
 
 
 @query("s1_stream_ingest", f"""WITH {CONVS} SELECT domain AS side, count(*) AS rows, sum(length(origin_text))::BIGINT AS chars FROM convs WHERE length(instruction) >= 100 GROUP BY domain
-UNION ALL SELECT 'short_instruction', count(*), 0 FROM convs WHERE length(instruction) < 100""")
+UNION ALL SELECT 'short_instruction', 2 * count(*), 0 FROM convs WHERE length(instruction) < 100""")
 def _(spark, sf):
     source, valid, bad, checkpoint = (stage_path(spark, f"ingest-{x}") for x in ("source", "valid", "bad", "checkpoint"))
     records = to_record(conversation_samples(spark, sf)).select(F.to_json(F.struct("id", "instruction", "response", "metadata")).alias("value"))
-    for _drop in range(2):  # the same records are dropped twice and must be taken once
+    for _drop in range(2):  # the same records are dropped twice: a sample counts once, each reject is kept
         records.write.mode("append").text(source)
     rules = {"min_instruction": 100}
     ingest.start_ingest(spark, source, valid, bad, checkpoint, pattern="*.txt", rules=rules).awaitTermination()
-    kept = spark.read.parquet(valid).groupBy(F.col("metadata.domain").alias("side")).agg(
+    kept = ingest.ingested(spark, valid).groupBy(F.col("metadata.domain").alias("side")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.length("response.origin_text")).alias("chars")
     )
     rejected = spark.read.parquet(bad).groupBy(F.array_join("reject_reasons", ",").alias("side")).agg(F.count(F.lit(1)).alias("rows"))

@@ -91,7 +91,8 @@ def _(spark, sf):
 def _(spark, sf):
     path = stage_path(spark, "runs")
     docs = document_samples(spark, sf).select("id", F.col("metadata.domain").alias("domain"))
-    writers.write_stage(docs, path, "20240501T100000")
+    for other in ("007", "1e3", "20240501T100000"):
+        writers.write_stage(docs.where("domain <> 'fr'"), path, other)
     writers.write_stage(docs.where("domain = 'fr'"), path, "20240502T100000")
     return writers.read_stage(spark, path)
 

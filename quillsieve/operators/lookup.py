@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillsieve.fixed_values import DIFFICULTY_BUCKETS
 from quillsieve.functions.keys import hash60
@@ -72,9 +73,12 @@ def write_index(df: DataFrame, path: str, buckets: int = DIFFICULTY_BUCKETS) ->
 
 def read_index(spark: SparkSession, path: str, domain: str | None = None, low: float | None = None,
                high: float | None = None, buckets: int = DIFFICULTY_BUCKETS) -> DataFrame:
-    """Read the index; domain and bucket conditions prune partitions. Bucket keys come
-    back as integers."""
-    df = spark.read.option("basePath", path).parquet(path).withColumn("difficulty_bucket", F.col("difficulty_bucket").cast("int"))
+    """Read the index; domain and bucket conditions prune partitions. Domains come
+    back as the strings they were, also those like ``007``, and bucket keys as integers."""
+    kinds = {"domain": T.StringType(), "difficulty_bucket": T.IntegerType()}
+    found = spark.read.option("basePath", path).parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
+    df = spark.read.schema(schema).option("basePath", path).parquet(path)
     if domain is not None:
         df = df.where(F.col("domain") == domain)
     if low is not None or high is not None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quillsieve.sources.readers import list_files
+
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     """One JSON object per line, replacing what is there; parent folders are made."""
@@ -30,12 +32,15 @@ def write_stage(df: DataFrame, path: str, run_id: str) -> int:
 
 
 def read_stage(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """One run of a stage table, the latest (greatest run id) by default. Run ids are
-    kept as strings; partition pruning reads that run's files only."""
-    table = spark.read.option("basePath", path).parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+    """One run of a stage table, the latest (greatest run id as a string) by default. Only
+    that run's folder is read; the latest is found by listing files, not by opening them. A
+    run that is not there raises."""
     if run_id is None:
-        run_id = table.agg(F.max("run_id").alias("r")).first()["r"]
-    return table.where(F.col("run_id") == F.lit(run_id)).drop("run_id")
+        run = F.regexp_extract("path", r"/run_id=([^/]+)/[^/]*$", 1)
+        run_id = list_files(spark, path, "*.parquet").agg(F.max(run).alias("r")).first()["r"]
+        if not run_id:
+            raise FileNotFoundError(f"no run below {path}")
+    return spark.read.parquet(f"{path}/run_id={run_id}")
 
 
 def append_seed(valid: DataFrame, path: str) -> int:

@@ -7,29 +7,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quillsieve.functions.text import json_document, strip
-from quillsieve.operators.normalize import ensure_id
+from quillsieve.operators.normalize import ensure_id, last_per_id
 from quillsieve.operators.rules import content_reasons, reasons, schema_reasons
 from quillsieve.sources.readers import record_to_sample
 
 
 def check_lines(lines: DataFrame, rules: dict | None = None) -> DataFrame:
     """Raw lines (column ``value``; other columns are kept) to typed samples with reject
-    reasons; works on batches and streams."""
+    reasons; works on batches and streams. A difficulty given as a string is not range
+    checked."""
     kept = [c for c in lines.columns if c != "value"]
     parsed = lines.where(strip(F.col("value")) != "").withColumn("record", json_document(F.col("value")))
     has_metadata = F.try_variant_get("record", "$.metadata", "variant").isNotNull()
+    difficulty = F.try_variant_get("record", "$.metadata.difficulty", "variant")
+    is_text = F.coalesce(F.schema_of_variant(difficulty) == "STRING", F.lit(False))
     wide = parsed.select(
-        "value", *kept, F.col("record").isNull().alias("__broken"), has_metadata.alias("__has_metadata"),
+        "value", *kept, F.col("record").isNull().alias("__broken"), has_metadata.alias("__has_metadata"), is_text.alias("__is_text"),
         schema_reasons(F.col("record")).alias("__schema"), *record_to_sample(F.col("record")),
     )
     content = content_reasons(
         F.col("instruction"), F.col("response.origin_text"), F.col("metadata.domain"),
-        F.col("metadata.difficulty"), F.col("__has_metadata"), **(rules or {}),
+        F.when(~F.col("__is_text"), F.col("metadata.difficulty")), F.col("__has_metadata"), **(rules or {}),
     )
     why = F.when(F.col("__broken"), reasons(("malformed", F.lit(True)))).otherwise(
         F.when(F.size("__schema") > 0, F.col("__schema")).otherwise(content)
     )
-    return wide.withColumn("reject_reasons", why).drop("__broken", "__has_metadata", "__schema")
+    return wide.withColumn("reject_reasons", why).drop("__broken", "__has_metadata", "__is_text", "__schema")
 
 
 def start_ingest(
@@ -40,41 +43,41 @@ def start_ingest(
     checkpoint: str,
     pattern: str = "*.jsonl",
     rules: dict | None = None,
-    late: str = "7 days",
 ) -> StreamingQuery:
     """Take newly dropped JSONL files, write valid samples and quarantine, and stop when
     all files present have been read.
 
-    A sample id dropped again within ``late`` is taken once; the state holds only the
-    ids of that time. Each micro-batch is written under its batch id with overwrite,
-    so a batch repeated after a failure does not add rows twice.
+    Every line that is not blank ends in one of the two tables, however old its file is and
+    however often it was seen; :func:`ingested` gives the last version of each id. No state
+    is held but the names of the files read. Each micro-batch is written under its batch id with overwrite, so a batch
+    repeated after a failure does not add rows twice.
     """
-    lines = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(source)
-    dropped = lines.select("value", F.col("_metadata.file_modification_time").alias("dropped_at"))
-    checked = with_key(check_lines(dropped.withWatermark("dropped_at", late), rules))
+    reader = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    # by default the source passes over files a week older than the newest one it has seen
+    lines = reader.option("maxFileAge", "36500d").text(source)
+    dropped = lines.select("value", F.col("_metadata.file_modification_time").alias("dropped_at"), F.col("_metadata.file_path").alias("file"))
+    checked = check_lines(dropped, rules)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
-        good = rows.where(F.size("reject_reasons") == 0).drop("reject_reasons", "value", "dropped_at")
-        good.write.mode("overwrite").parquet(f"{valid_path}/batch={batch_id}")
-        bad = rows.where(F.size("reject_reasons") > 0).select("value", "reject_reasons")
+        good = ensure_id(rows.where(F.size("reject_reasons") == 0)).withColumn("line_hash", F.xxhash64("value"))
+        good.drop("reject_reasons", "value").write.mode("overwrite").parquet(f"{valid_path}/batch={batch_id}")
+        bad = rows.where(F.size("reject_reasons") > 0).select("value", "reject_reasons", "dropped_at", "file")
         bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
         rows.unpersist()
 
     return (
-        checked.dropDuplicatesWithinWatermark(["id"])
-        .writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+        checked.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 
 
-def with_key(checked: DataFrame) -> DataFrame:
-    """An id for every row: a rejected line is known by its text, so that lines without
-    an id are not lost among the duplicates."""
-    by_text = F.concat(F.lit("line:"), F.md5("value"))
-    return ensure_id(checked).withColumn(
-        "id", F.when(F.size("reject_reasons") > 0, by_text).otherwise(F.col("id"))
-    )
+def ingested(spark: SparkSession, valid_path: str) -> DataFrame:
+    """The valid samples, one per id. Of several versions the last wins: that of the latest
+    micro-batch, in it that of the file modified last, then of the greatest file name; lines
+    of one file that share an id are settled by a hash of the line."""
+    order = ["batch", "dropped_at", "file", "line_hash"]
+    return last_per_id(spark.read.parquet(valid_path), order).drop(*order)
 
 
 def pending(df: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:

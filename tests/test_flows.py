@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,11 +95,38 @@ def test_stream_ingest_over_two_drops(spark, tmp_path):
     ingest.start_ingest(spark, source, valid, bad, checkpoint).awaitTermination()
     _write(tmp_path / "in", "two.jsonl", json.dumps(GOOD) + "\n" + json.dumps({k: v for k, v in GOOD.items() if k != "id"}) + "\n" + json.dumps({**GOOD, "id": "6"}) + "\n")
     ingest.start_ingest(spark, source, valid, bad, checkpoint).awaitTermination()
-    assert sorted(r["id"] for r in spark.read.parquet(valid).collect()) == ["1", "6"]
+    assert sorted(r["id"] for r in ingest.ingested(spark, valid).collect()) == ["1", "6"]
     reasons = sorted(r["reject_reasons"][0] for r in spark.read.parquet(bad).collect())
     assert reasons == ["malformed", "missing:id", "short_response"]
 
 
+def test_stream_ingest_loses_no_line(spark, tmp_path):
+    source, valid, bad, checkpoint = (str(tmp_path / x) for x in ("in", "valid", "bad", "cp"))
+    text = {**GOOD, "id": "7", "metadata": {"difficulty": "5"}}
+    _write(tmp_path / "in", "one.jsonl", json.dumps(GOOD) + "\nbroken\nbroken\n" + json.dumps(text) + "\n")
+    ingest.start_ingest(spark, source, valid, bad, checkpoint).awaitTermination()
+    old = _write(tmp_path / "in", "old.jsonl", json.dumps({**GOOD, "id": "8"}) + "\nbroken\n" + json.dumps({**GOOD, "response": "A later answer"}) + "\n"
+                 + json.dumps({**GOOD, "id": "9", "metadata": {"difficulty": 5}}) + "\n")
+    os.utime(old, (1e9, 1e9))
+    ingest.start_ingest(spark, source, valid, bad, checkpoint).awaitTermination()
+    assert spark.read.parquet(valid).count() + spark.read.parquet(bad).count() == 8
+    assert sorted(r["reject_reasons"][0] for r in spark.read.parquet(bad).collect()) == ["difficulty_range", *["malformed"] * 3]
+    last = {r["id"]: r["response"]["origin_text"] for r in ingest.ingested(spark, valid).collect()}
+    assert last == {"1": "A later answer", "7": GOOD["response"], "8": GOOD["response"]}
+
+
+def test_run_ids_and_domains_stay_strings(spark, tmp_path):
+    for run in ("007", "1e3"):
+        assert writers.write_stage(spark.range(5), str(tmp_path / "t"), run) == 5
+        assert writers.read_stage(spark, str(tmp_path / "t"), run).count() == 5
+    assert writers.read_stage(spark, str(tmp_path / "t")).columns == ["id"]
+    df = spark.createDataFrame([("a", ("007", 0.1)), ("b", ("2024", 0.9)), ("c", (None, 0.5))], "id string, metadata struct<domain:string,difficulty:double>")
+    lookup.write_index(df, str(tmp_path / "i"))
+    found = {r["id"]: r["domain"] for r in lookup.read_index(spark, str(tmp_path / "i")).collect()}
+    assert found == {"a": "007", "b": "2024", "c": None}
+    assert lookup.read_index(spark, str(tmp_path / "i"), domain="law").count() == 0
+
+
 def test_stream_usage_drops_late_rows(spark, tmp_path):
     calls = "ts timestamp, provider string, error string, prompt_tokens bigint, completion_tokens bigint, cost double, latency double"
     def drop(n, *times):
