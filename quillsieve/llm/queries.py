@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsieve.llm import decontaminate, mixing, records, repeats, sharding, simhash_dedup, simhash_tables, toxicity, url_filter, warc
+from quillsieve.llm import (
+    alignment, decontaminate, mixing, records, repeats, sharding, simhash_dedup, simhash_tables, spelling, substrings, toxicity, url_filter, warc,
+)
 from quillsieve.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -67,10 +69,23 @@ def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_spans(table(spark, sf_dir, "documents"), length=200).drop("spans").withColumnRenamed("id", "doc_id")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.later_passages(table(spark, sf_dir, "documents"), length=20).drop("spans").withColumnRenamed("id", "doc_id")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(table(spark, sf_dir, "documents"), min_length=6, min_count=5, every=199)
+    return spelling.variants(counts, ratio=5)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_simhash_dedup, op2_token_records, op3_decontaminate, op4_mix_sources, op5_toxicity, op6_fingerprints,
-              op7_shards, op8_url_filter, op9_warc, op10_repeated_bytes)
+              op7_shards, op8_url_filter, op9_warc, op10_repeated_bytes, op11_substring_dedup, op12_spelling_variants, op13_token_alignment)
 }
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -137,4 +152,16 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM grouped"""
 
-ORACLES = {"op3_decontaminate": OP3_SQL, "op4_mix_sources": OP4_SQL, "op8_url_filter": OP8_SQL, "op9_warc": OP9_SQL}
+OP11_SQL = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs WHERE len(w) >= 20)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS joined FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(joined, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""
+
+ORACLES = {"op3_decontaminate": OP3_SQL, "op4_mix_sources": OP4_SQL, "op8_url_filter": OP8_SQL, "op9_warc": OP9_SQL, "op11_substring_dedup": OP11_SQL}
