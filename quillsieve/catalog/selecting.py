@@ -150,9 +150,29 @@ def _(spark, sf):
     return df.select("id", _r(selection.selection_score()).alias("score"))
 
 
+# --- near duplicates in SQL ------------------------------------------------------
+
+def _near_sql(threshold: float) -> str:
+    """Clusters of near duplicates of ``base`` (id, score, t) by comparing all pairs."""
+    return f"""ex AS (SELECT t, arg_min(id, {{'a': -score, 'b': id}}) AS keeper, count(*) AS copies FROM base GROUP BY t),
+toks AS (SELECT keeper AS id, string_split(t, ' ') AS w FROM ex),
+sh AS (SELECT DISTINCT id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM toks, range(1, len(w) - 1) r(i) WHERE len(w) >= 3),
+sz AS (SELECT id, count(*) AS m FROM sh GROUP BY id),
+common AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.id < b.id GROUP BY 1, 2),
+pairs AS (SELECT a, b FROM common JOIN sz x ON x.id = a JOIN sz y ON y.id = b WHERE c >= {threshold} * (x.m + y.m - c) - 1e-9),
+sym AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(n, l) AS (SELECT DISTINCT a, a FROM sym UNION SELECT s.b, r.l FROM reach r JOIN sym s ON s.a = r.n),
+comp AS (SELECT n AS keeper, min(l) AS component FROM reach GROUP BY n),
+mem AS (SELECT base.id, base.score, coalesce(component, ex.keeper) AS cluster FROM base JOIN ex USING (t) LEFT JOIN comp USING (keeper) WHERE copies > 1 OR component IS NOT NULL),
+best AS (SELECT cluster, arg_min(id, {{'a': -score, 'b': id}}) AS keeper FROM mem GROUP BY cluster)"""
+
+
+_NEAR = f"WITH RECURSIVE base AS (SELECT 'd' || doc_id AS id, n_chars::DOUBLE AS score, {normalized_sql('text')} AS t FROM documents), {_near_sql(0.85)}"
+
+
 # --- selection -------------------------------------------------------------------
 
-def _quota_sql(name: str, target: int, shares: dict[str, float]) -> str:
+def _takes_sql(name: str, target: int, shares: dict[str, float]) -> str:
     """The band quotas as SQL: own share, then loans from medium, easy and hard."""
     q = {b: int(target * s) for b, s in shares.items()}
     q["medium"] += target - sum(q.values())
@@ -163,7 +183,12 @@ f AS (SELECT e, m, h, te, tm + em AS tm, th + eh AS th, tm AS om, th AS oh FROM
 m1 AS (SELECT *, least({q['medium']} - om, e - te) AS me FROM f), m2 AS (SELECT *, least({q['medium']} - om - me, h - th) AS mh FROM m1),
 g AS (SELECT e, m, h, te + me AS te, tm, th + mh AS th, oh FROM m2),
 h1 AS (SELECT *, least({q['hard']} - oh, m - tm) AS hm FROM g), h2 AS (SELECT *, least({q['hard']} - oh - hm, e - te) AS he FROM h1),
-k AS (SELECT te + he AS easy, tm + hm AS medium, th AS hard FROM h2),
+k AS (SELECT te + he AS easy, tm + hm AS medium, th AS hard FROM h2)"""
+
+
+def _quota_sql(name: str, target: int, shares: dict[str, float]) -> str:
+    """The best rows of each band within its quota."""
+    return f"""{_takes_sql(name, target, shares)},
 picked AS (SELECT s.* FROM {name} s, k QUALIFY row_number() OVER (PARTITION BY band ORDER BY score DESC, {hash60_sql('id')}, id)
   <= CASE band WHEN 'easy' THEN k.easy WHEN 'medium' THEN k.medium ELSE k.hard END)"""
 
@@ -202,6 +227,49 @@ def _(spark, sf):
     return picked.select("id", _r(F.col("selection_score")).alias("score"))
 
 
+_CELL_SQL = """cells AS (SELECT *, row_number() OVER (PARTITION BY band, domain ORDER BY score DESC, {hash}, id) AS place, count(*) OVER (PARTITION BY band, domain) AS size,
+  CASE band WHEN 'easy' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END AS b FROM banded),
+sured AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY (2 * place - 1)::DOUBLE / size, b)
+  <= least({floor}, (SELECT {target} // count(DISTINCT domain) FROM banded)) AS sure FROM cells),
+lined AS (SELECT *, row_number() OVER (PARTITION BY band ORDER BY sure DESC, {rest}) AS r,
+  CASE band WHEN 'easy' THEN k.easy WHEN 'medium' THEN k.medium ELSE k.hard END AS quota FROM sured, k),
+first_ones AS (SELECT *, row_number() OVER (ORDER BY sure, r::DOUBLE / nullif(quota, 0) DESC, b DESC) AS away FROM lined WHERE sure OR r <= quota),
+picked AS (SELECT * FROM first_ones WHERE sure OR away > (SELECT count(*) - least({target}, (SELECT count(*) FROM banded)) FROM first_ones))"""
+
+
+def _cells_sql(target: int, floor: int, balance: bool) -> str:
+    """Selection row by row: what each domain is sure of, then the rest of each band."""
+    h = hash60_sql("id")
+    return _CELL_SQL.format(hash=h, floor=floor, target=target, rest="place, domain" if balance else f"score DESC, {h}, id")
+
+
+_GATE = "overall >= 0.3 AND coalesce(ss, 1) >= 0.9 AND raq >= 0.2"
+
+
+@query("c12_filter_dedup_domains", f"""WITH RECURSIVE {ASSESSED}, passed AS (SELECT * FROM assessed WHERE {_GATE}),
+base AS (SELECT id, round(overall, 9) AS score, {normalized_sql('text')} AS t FROM passed JOIN documents ON id = 'd' || doc_id), {_near_sql(0.85)},
+{_diverse_sql('gated', 'gated AS (SELECT * FROM passed WHERE id NOT IN (SELECT mem.id FROM mem JOIN best USING (cluster) WHERE mem.id <> best.keeper))').removeprefix(ASSESSED + ', ')},
+banded AS (SELECT id, domain, overall * (1 - 0.3::DOUBLE) + diversity * 0.3::DOUBLE AS score, {_BAND} FROM divs),
+{_takes_sql('banded', 250, _SHARES)}, {_cells_sql(250, 70, True)}
+SELECT id, domain, band, round(score, 6) AS score FROM picked""")
+def _(spark, sf):
+    picked = selection.multi_dimension_filter(
+        assessed_documents(spark, sf), target=250, quality_threshold=0.3,
+        gate={"thresholds": {}, "rationale_threshold": 0.2, "answer_threshold": 0.0},
+        similarity_threshold=0.85, text=F.col("response.origin_text"), min_domain_samples=70, domain_balance=True,
+    )
+    band = selection.difficulty_band(metric("instruction_complexity", 0.5))
+    return picked.select("id", F.col("metadata.domain").alias("domain"), band.alias("band"), _r(F.col("selection_score")).alias("score"))
+
+
+@query("c13_domain_floors", f"WITH {_BANDED.replace('SELECT id,', 'SELECT id, domain,')}, {_takes_sql('banded', 160, _SHARES)}, {_cells_sql(160, 45, False)} SELECT id, domain, band, score FROM picked")
+def _(spark, sf):
+    rows = assessed_documents(spark, sf).select("id", "metadata", "evaluations", _r(metric("overall_score"), 9).alias("score"))
+    picked = selection.cell_selection(stage(rows, "scored"), 160, min_per_domain=45, score=F.col("score"))
+    band = selection.difficulty_band(metric("instruction_complexity", 0.5))
+    return picked.select("id", F.col("metadata.domain").alias("domain"), band.alias("band"), "score")
+
+
 @query("c13_domain_quotas", f"""WITH {ASSESSED}, r AS (SELECT id, domain, round(overall, 9) AS score, row_number() OVER (PARTITION BY domain ORDER BY round(overall, 9) DESC, {hash60_sql('id')}, id) AS rn,
   count(*) OVER (PARTITION BY domain) AS n FROM assessed)
 SELECT id, domain, score FROM r WHERE rn <= least(n, greatest(10, 15))""")
@@ -279,20 +347,6 @@ def _(spark, sf):
     return dedup.drop_exact_duplicates(docs, F.col("text"), F.col("score")).select("id")
 
 
-_NEAR = f"""WITH RECURSIVE base AS (SELECT 'd' || doc_id AS id, n_chars::DOUBLE AS score, {normalized_sql('text')} AS t FROM documents),
-ex AS (SELECT t, arg_min(id, {{'a': -score, 'b': id}}) AS keeper, count(*) AS copies FROM base GROUP BY t),
-toks AS (SELECT keeper AS id, string_split(t, ' ') AS w FROM ex),
-sh AS (SELECT DISTINCT id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM toks, range(1, len(w) - 1) r(i) WHERE len(w) >= 3),
-sz AS (SELECT id, count(*) AS m FROM sh GROUP BY id),
-common AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.id < b.id GROUP BY 1, 2),
-pairs AS (SELECT a, b FROM common JOIN sz x ON x.id = a JOIN sz y ON y.id = b WHERE c >= 0.85 * (x.m + y.m - c) - 1e-9),
-sym AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
-reach(n, l) AS (SELECT DISTINCT a, a FROM sym UNION SELECT s.b, r.l FROM reach r JOIN sym s ON s.a = r.n),
-comp AS (SELECT n AS keeper, min(l) AS component FROM reach GROUP BY n),
-mem AS (SELECT base.id, base.score, coalesce(component, ex.keeper) AS cluster FROM base JOIN ex USING (t) LEFT JOIN comp USING (keeper) WHERE copies > 1 OR component IS NOT NULL),
-best AS (SELECT cluster, arg_min(id, {{'a': -score, 'b': id}}) AS keeper FROM mem GROUP BY cluster)"""
-
-
 @query("g8_near_duplicates", f"{_NEAR} SELECT id, cluster, best.keeper FROM mem JOIN best USING (cluster)")
 def _(spark, sf):
     docs = table(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text", "n_chars")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from quillsieve.fixed_values import DEFAULT_METRICS
 from quillsieve.functions.scales import report_band
 from quillsieve.operators.gates import metric
-from quillsieve.operators.stats import basic_statistics
+from quillsieve.operators.stats import moment_columns, statistics_of
+from quillsieve.session import stage
 
 SCHEMA = "section string, key string, measure string, value double"
 
@@ -19,65 +20,96 @@ def _long(df: DataFrame, section: str, key: Column, measures: dict[str, Column])
     return df.select(F.lit(section).alias("section"), key.cast("string").alias("key"), F.inline(entries))
 
 
-def _counts(df: DataFrame, section: str, key: Column) -> DataFrame:
-    grouped = df.where(key.isNotNull()).groupBy(key.alias("__k")).agg(F.count(F.lit(1)).alias("n"))
-    return _long(grouped, section, F.col("__k"), {"count": F.col("n")})
+def _sections(df: DataFrame, keys: dict[str, Column], inputs: dict[str, Column], aggregates: list[Column], label: str) -> DataFrame:
+    """A staged table of aggregates over all rows (section ``all``) and per section and key,
+    from one scan: each row is handed to its groups, and partial aggregates come before the
+    shuffle. A row without a key is in no group of that section. Aggregates of a single
+    section take their inputs through :func:`_within`."""
+    def entry(section: str, key: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), key.cast("string").alias("key"))
 
+    entries = F.array(entry("all", F.lit(None)), *[entry(s, k) for s, k in keys.items()])
+    rows = df.select(F.inline(entries), *[c.alias(n) for n, c in inputs.items()])
+    return stage(rows.where((F.col("section") == "all") | F.col("key").isNotNull()).groupBy("section", "key").agg(*aggregates), label)
 
-def _moments(df: DataFrame, section: str, values: dict[str, Column], keep: tuple[str, ...]) -> DataFrame:
-    table = basic_statistics(df, values)
-    return _long(table, section, F.col("metric"), {m: F.col(m) for m in keep})
+
+def _within(section: str, column: Column) -> Column:
+    return F.when(F.col("section") == section, column)
+
+
+def _of(table: DataFrame, section: str, measures: dict[str, Column], name: str | None = None) -> DataFrame:
+    """Report rows of one section."""
+    key = F.lit("all") if section == "all" else F.col("key")
+    return _long(table.where(F.col("section") == section), name or section, key, measures)
+
+
+def _statistics(df: DataFrame, table: DataFrame, section: str, values: dict[str, Column], keep: tuple[str, ...]) -> DataFrame:
+    """Rows of moments and medians; the moments are in the row over everything."""
+    told = statistics_of(df, values, table.where("section = 'all'").first())
+    return _long(told, section, F.col("metric"), {m: F.col(m) for m in keep})
+
+
+def _over_all(values: dict[str, Column]) -> dict[str, Column]:
+    """Values that only the row over everything aggregates."""
+    return {n: _within("all", F.col(f"__v{i}")) for i, n in enumerate(values)}
+
+
+def _inputs(values: dict[str, Column]) -> dict[str, Column]:
+    return {f"__v{i}": c for i, c in enumerate(values.values())}
 
 
 def generation_report(df: DataFrame, reasons: str = "reject_reasons") -> DataFrame:
     """Totals, accepted and rejected rows, and domains and difficulty bands of the
-    accepted ones. ``df`` holds all generated rows with their reject reasons."""
+    accepted ones. ``df`` holds all generated rows with their reject reasons. One scan."""
     accepted = F.size(reasons) == 0
-    totals = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(accepted).alias("ok"))
-    kept = df.where(accepted)
+    table = _sections(
+        df, {"domain": F.when(accepted, F.col("metadata.domain")), "difficulty": F.when(accepted, report_band(F.col("metadata.difficulty")))},
+        {"__ok": accepted}, [F.count(F.lit(1)).alias("n"), F.count_if("__ok").alias("ok")], "generation-report")
     return (
-        _long(totals, "totals", F.lit("all"), {
+        _of(table, "all", {
             "total_generated": F.col("n"), "passed_initial_filter": F.col("ok"), "rejected": F.col("n") - F.col("ok"),
-        })
-        .unionByName(_counts(kept, "domain", F.col("metadata.domain")))
-        .unionByName(_counts(kept, "difficulty", report_band(F.col("metadata.difficulty"))))
+        }, "totals")
+        .unionByName(_of(table, "domain", {"count": F.col("n")}))
+        .unionByName(_of(table, "difficulty", {"count": F.col("n")}))
     )
 
 
 def assessment_report(df: DataFrame, metrics: tuple[str, ...] = (*DEFAULT_METRICS, "overall_score")) -> DataFrame:
     """Verification counts, mean, median and std per metric, and per domain the mean
-    overall score and the verification rate."""
+    overall score and the verification rate. Two scans, the second for the medians."""
     verified = F.coalesce(F.col("verification.verified"), F.lit(False))
-    totals = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(verified).alias("ok"))
-    domains = df.groupBy(F.coalesce(F.col("metadata.domain"), F.lit("unknown")).alias("__k")).agg(
-        F.avg(metric("overall_score")).alias("m"), F.avg(verified.cast("double")).alias("v")
-    )
+    values = {m: metric(m) for m in metrics}
+    table = _sections(
+        df, {"domain": F.coalesce(F.col("metadata.domain"), F.lit("unknown"))},
+        {"__ok": verified, "__score": metric("overall_score"), **_inputs(values)},
+        [F.count(F.lit(1)).alias("n"), F.count_if("__ok").alias("ok"), F.avg("__score").alias("m"), F.avg(F.col("__ok").cast("double")).alias("v"),
+         *moment_columns(_over_all(values))], "assessment-report")
     return (
-        _long(totals, "totals", F.lit("all"), {
-            "total_assessed": F.col("n"), "passed_verification": F.col("ok"),
-            "failed_verification": F.col("n") - F.col("ok"),
-        })
-        .unionByName(_moments(df, "score", {m: metric(m) for m in metrics}, ("mean", "median", "std")))
-        .unionByName(_long(domains, "domain", F.col("__k"), {
-            "mean_score": F.col("m"), "verification_success_rate": F.col("v"),
-        }))
+        _of(table, "all", {
+            "total_assessed": F.col("n"), "passed_verification": F.col("ok"), "failed_verification": F.col("n") - F.col("ok"),
+        }, "totals")
+        .unionByName(_statistics(df, table, "score", values, ("mean", "median", "std")))
+        .unionByName(_of(table, "domain", {"mean_score": F.col("m"), "verification_success_rate": F.col("v")}))
     )
 
 
 def filtering_report(df: DataFrame, duplicates: DataFrame | None = None) -> DataFrame:
     """Input, selected and rejected rows, overall score of the selected rows, their
     domains and difficulty bands, and the duplicate counts (a one-row frame with
-    clusters and removed). ``df`` holds every candidate with its filtering struct."""
-    chosen = F.col("filtering.selected")
-    totals = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(chosen).alias("s"))
-    picked = df.where(chosen)
+    clusters and removed). ``df`` holds every candidate with its filtering struct. Two
+    scans, the second for the median."""
+    chosen = F.coalesce(F.col("filtering.selected"), F.lit(False))
+    values = {"overall_score": F.when(chosen, metric("overall_score"))}
+    table = _sections(
+        df, {"domain": F.when(chosen, F.col("metadata.domain")), "difficulty": F.when(chosen, report_band(F.col("metadata.difficulty")))},
+        {"__s": chosen, **_inputs(values)}, [F.count(F.lit(1)).alias("n"), F.count_if("__s").alias("s"), *moment_columns(_over_all(values))], "filtering-report")
     report = (
-        _long(totals, "totals", F.lit("all"), {
+        _of(table, "all", {
             "input_samples": F.col("n"), "selected_samples": F.col("s"), "rejected_samples": F.col("n") - F.col("s"),
-        })
-        .unionByName(_moments(picked, "quality", {"overall_score": metric("overall_score")}, ("mean", "median", "min", "max")))
-        .unionByName(_counts(picked, "domain", F.col("metadata.domain")))
-        .unionByName(_counts(picked, "difficulty", report_band(F.col("metadata.difficulty"))))
+        }, "totals")
+        .unionByName(_statistics(df, table, "quality", values, ("mean", "median", "min", "max")))
+        .unionByName(_of(table, "domain", {"count": F.col("n")}))
+        .unionByName(_of(table, "difficulty", {"count": F.col("n")}))
     )
     if duplicates is not None:
         report = report.unionByName(_long(duplicates, "deduplication", F.lit("all"), {
@@ -89,27 +121,28 @@ def filtering_report(df: DataFrame, duplicates: DataFrame | None = None) -> Data
 def advanced_report(df: DataFrame, methods: tuple[str, ...] = ("ifd", "limr", "less", "ensemble")) -> DataFrame:
     """Totals, mean, median and std per method, mean score and selected share per domain,
     mean learning effect, and the rationale and answer means with their correlation.
-    ``df`` holds every assessed row with an ``advanced`` struct."""
+    ``df`` holds every assessed row with an ``advanced`` struct. Two scans, the second
+    for the medians."""
     selected = F.coalesce(F.col("advanced.final_selected"), F.lit(False))
-    r, a = metric("rationale_quality"), metric("answer_accuracy")
-    totals = df.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(selected).alias("s"),
-        F.avg("advanced.loss_reduction").alias("l"), F.avg("advanced.accuracy_improvement").alias("g"),
-        F.avg(r).alias("r"), F.avg(a).alias("a"), F.corr(r, a).alias("c"),
-    )
-    domains = df.groupBy(F.coalesce(F.col("metadata.domain"), F.lit("unknown")).alias("__k")).agg(
-        F.avg("advanced.ensemble_score").alias("m"), F.avg(selected.cast("double")).alias("s")
-    )
+    values = {m: F.col(f"advanced.{m}_score") for m in methods}
+    r, a = _within("all", F.col("__r")), _within("all", F.col("__a"))
+    table = _sections(
+        df, {"domain": F.coalesce(F.col("metadata.domain"), F.lit("unknown"))},
+        {"__s": selected, "__l": F.col("advanced.loss_reduction"), "__g": F.col("advanced.accuracy_improvement"), "__e": F.col("advanced.ensemble_score"),
+         "__r": metric("rationale_quality"), "__a": metric("answer_accuracy"), **_inputs(values)},
+        [F.count(F.lit(1)).alias("n"), F.count_if("__s").alias("s"), F.avg(F.col("__s").cast("double")).alias("share"), F.avg("__e").alias("m"),
+         F.avg("__l").alias("l"), F.avg("__g").alias("g"), F.avg(r).alias("r"), F.avg(a).alias("a"), F.corr(r, a).alias("c"),
+         *moment_columns(_over_all(values))], "advanced-report")
     return (
-        _long(totals, "totals", F.lit("all"), {"assessed_samples": F.col("n"), "final_selected": F.col("s")})
-        .unionByName(_moments(df, "method", {m: F.col(f"advanced.{m}_score") for m in methods}, ("mean", "median", "std")))
-        .unionByName(_long(domains, "domain", F.col("__k"), {"mean_score": F.col("m"), "selected_ratio": F.col("s")}))
-        .unionByName(_long(totals, "learning_effect", F.lit("all"), {
+        _of(table, "all", {"assessed_samples": F.col("n"), "final_selected": F.col("s")}, "totals")
+        .unionByName(_statistics(df, table, "method", values, ("mean", "median", "std")))
+        .unionByName(_of(table, "domain", {"mean_score": F.col("m"), "selected_ratio": F.col("share")}))
+        .unionByName(_of(table, "all", {
             "mean_loss_reduction": F.col("l"), "mean_accuracy_improvement": F.col("g"),
-        }))
-        .unionByName(_long(totals, "rationale_vs_answer", F.lit("all"), {
+        }, "learning_effect"))
+        .unionByName(_of(table, "all", {
             "rationale_mean": F.col("r"), "answer_mean": F.col("a"), "correlation": F.col("c"),
-        }))
+        }, "rationale_vs_answer"))
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quillsieve.fixed_values import DIFFICULTY_BUCKETS
 from quillsieve.functions.scales import difficulty_bucket
 from quillsieve.operators.normalize import path_category
-from quillsieve.operators.ranking import IN_PLACE_ROWS, exact_quantiles
+from quillsieve.operators.ranking import IN_PLACE_ROWS, bracket, exact_quantiles
 
 
 def seed_statistics(df: DataFrame, file: Column | None = None) -> DataFrame:
@@ -36,53 +36,70 @@ def index_statistics(df: DataFrame, buckets: int = DIFFICULTY_BUCKETS) -> DataFr
     """Rows (kind, key, count): total rows, distinct ids, number of domains, and the
     rows per domain and per difficulty bucket.
 
-    Domain and bucket counts come from one grouped pass; distinct ids from a second
-    aggregate, which is combined before its shuffle.
+    One scan: each row counts for the whole, its domain, its bucket and its id, combined
+    before the shuffle; the groups of ids and domains are then counted themselves.
     """
+    nothing = F.lit(None).cast("string")
+
+    def entry(kind: str, key: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"))
+
     bucket = difficulty_bucket(F.col("metadata.difficulty"), buckets)
-    cells = df.groupBy(F.col("metadata.domain").alias("domain"), bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    keyed = cells.select(F.col("n"), F.inline(F.array(
-        F.struct(F.lit("total").alias("kind"), F.lit(None).cast("string").alias("key")),
-        F.struct(F.lit("domain").alias("kind"), F.col("domain").alias("key")),
-        F.struct(F.lit("bucket").alias("kind"), F.col("bucket").cast("string").alias("key")),
-    )))
-    counted = keyed.where((F.col("kind") == "total") | F.col("key").isNotNull()).groupBy("kind", "key").agg(
-        F.sum("n").alias("count")
-    )
-    named = df.where(F.coalesce(F.col("id"), F.lit("")) != "")
-    ids = named.agg(F.count_distinct("id").alias("count")).select(
-        F.lit("distinct_ids").alias("kind"), F.lit(None).cast("string").alias("key"), "count"
-    )
-    domains = counted.where(F.col("kind") == "domain").agg(F.count(F.lit(1)).alias("count")).select(
-        F.lit("domains").alias("kind"), F.lit(None).cast("string").alias("key"), "count"
-    )
-    return counted.unionByName(ids).unionByName(domains)
+    every = df.select(F.inline(F.array(
+        entry("total", nothing), entry("domain", F.col("metadata.domain")), entry("bucket", bucket), entry("id", F.nullif(F.col("id"), F.lit(""))))))
+    counted = every.where((F.col("kind") == "total") | F.col("key").isNotNull()).groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n"))
+    one = F.lit(1).cast("bigint")
+    own = F.struct("kind", "key", F.col("n").alias("count"))
+    is_domain, is_id = F.col("kind") == "domain", F.col("kind") == "id"
+    ids = F.struct(F.lit("distinct_ids").alias("kind"), nothing.alias("key"), one.alias("count"))
+    domains = F.struct(F.lit("domains").alias("kind"), nothing.alias("key"), one.alias("count"))
+    told = F.when(is_id, F.array(ids)).when(is_domain, F.array(own, domains)).otherwise(F.array(own))
+    seen = counted.select(F.inline(told)).groupBy("kind", "key").agg(F.sum("count").alias("count"))
+    # a table without domains or ids has none of each
+    none = df.sparkSession.createDataFrame([("domains", None, 0), ("distinct_ids", None, 0)], "kind string, key string, count bigint")
+    return seen.unionByName(none).groupBy("kind", "key").agg(F.sum("count").alias("count"))
+
+
+_MOMENTS = ("mean", "min", "max", "std", "count", "bracket")
+
+
+def moment_columns(values: dict[str, Column]) -> list[Column]:
+    """Aggregates of each value for :func:`statistics_of`."""
+    out = []
+    for i, c in enumerate(values.values()):
+        v = c.cast("double")
+        aggregates = (F.avg(v), F.min(v), F.max(v), F.stddev_pop(v), F.count(v), bracket(v))
+        out += [a.alias(f"__{m}_{i}") for m, a in zip(_MOMENTS, aggregates, strict=True)]
+    return out
+
+
+def statistics_of(df: DataFrame, values: dict[str, Column], seen: dict, in_place: int = IN_PLACE_ROWS) -> DataFrame:
+    """The table of :func:`basic_statistics` from a row with :func:`moment_columns` of the
+    same frame; only the medians read it again."""
+    names = list(values)
+    rows = {n: {m: seen[f"__{m}_{i}"] for m in _MOMENTS} for i, n in enumerate(names)}
+    known = {n: r for n, r in rows.items() if r["count"]}
+    medians: dict = {}
+    if known:
+        long = df.select(F.inline(F.array(*[
+            F.struct(F.lit(n).alias("metric"), values[n].cast("double").alias("value")) for n in known
+        ])))
+        medians = exact_quantiles(
+            long, F.col("value"), F.col("metric"), in_place=in_place,
+            sizes={n: (r["count"], r["min"], r["max"]) for n, r in known.items()}, sketch={n: r["bracket"] for n, r in known.items()})
+    told = [(n, r["mean"], medians[n][0], r["min"], r["max"], r["std"], r["count"]) if n in known else (n, 0.0, 0.0, 0.0, 0.0, 0.0, 0)
+            for n, r in rows.items()]
+    return df.sparkSession.createDataFrame(
+        told, "metric string, mean double, median double, min double, max double, std double, count bigint")
 
 
 def basic_statistics(
     df: DataFrame, values: dict[str, Column], in_place: int = IN_PLACE_ROWS
 ) -> DataFrame:
     """One row per named expression: mean, median, min, max, population std, count, over
-    the non-null values. Zeros for an expression without values."""
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("metric"), c.cast("double").alias("value")) for n, c in values.items()
-    ])))
-    moments = {r["metric"]: r for r in long.where("value is not null").groupBy("metric").agg(
-        F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
-        F.stddev_pop("value").alias("std"), F.count("value").alias("count"),
-    ).collect()}
-    sizes = {m: (r["count"], r["min"], r["max"]) for m, r in moments.items()}
-    medians = exact_quantiles(long, F.col("value"), F.col("metric"), in_place=in_place, sizes=sizes)
-    rows = []
-    for n in values:
-        r = moments.get(n)
-        rows.append((n, r["mean"], medians[n][0], r["min"], r["max"], r["std"], r["count"]) if r
-                    else (n, 0.0, 0.0, 0.0, 0.0, 0.0, 0))
-    return df.sparkSession.createDataFrame(
-        rows, "metric string, mean double, median double, min double, max double, std double, count bigint"
-    )
+    the non-null values. Zeros for an expression without values. Two scans: moments and
+    brackets of the medians, then the medians."""
+    return statistics_of(df, values, df.agg(*moment_columns(values)).first().asDict(), in_place)
 
 
 def histogram(df: DataFrame, value: Column, bins: int = 10) -> DataFrame:
