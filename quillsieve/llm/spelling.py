@@ -49,10 +49,13 @@ RATIO = 5
 BLOCK_ROWS = 8_192
 # Distinct words that a task counts before it hands them on.
 _COUNTED = 200_000
-_PACKED = 512
+_PACKED = 256
+_TILE = 512
+# Letters of pairs that are verified at once.
+_CHECKED = 1 << 19
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xC0, 0x100)))
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
+_RUN = "[A-Za-zÀ-ÿ]{%d,}"  # whole runs of so many letters
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))  # of UTF-8, other letters stay
 # column of each code point below 256
 _COLUMN = np.zeros(256, np.int64)
 _COLUMN[[ord(c) for c in _ALPHABET]] = np.arange(len(_ALPHABET))
@@ -69,6 +72,7 @@ def misspelled(word: str, prefix: int, every: int) -> str:
 
 def _count(batches: Iterator[pa.RecordBatch], min_length: int, every: int | None) -> Iterator[pa.RecordBatch]:
     total: Counter[str] = Counter()
+    runs = re.compile(_RUN % min_length)
 
     def ripe() -> pa.RecordBatch:
         out = pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
@@ -78,11 +82,9 @@ def _count(batches: Iterator[pa.RecordBatch], min_length: int, every: int | None
     for whole in batches:
         for batch in slices(whole):
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = Counter(_RUN.findall((text or "").translate(_LOWER) if text and not text.isascii() else (text or "").lower()))
+                own = Counter(runs.findall((text or "").encode().translate(_LOWER).decode()))
                 prefix = zlib.crc32(f"{name}:".encode())
                 for word, n in own.items():
-                    if len(word) < min_length:
-                        continue
                     if every:
                         word = misspelled(word, prefix, every)
                         if len(word) < min_length:
@@ -138,9 +140,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Record
             counts = np.ascontiguousarray(letter_counts(codes).astype(np.uint32))
             for number, chosen in enumerate(_choices(parts)):
                 own = np.ascontiguousarray(counts[:, np.isin(sets, chosen)])
+                agreed = np.fromiter((xxhash.xxh64_intdigest(row.tobytes(), number) for row in own), np.uint64, len(words))
                 for low in (length, length - 1):
-                    block = np.fromiter((xxhash.xxh64_intdigest(row.tobytes(), number) for row in own), np.uint64, len(words))
-                    block ^= low.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    block = agreed ^ low.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(block.view(np.int64)), pa.array(np.full(len(words), number, np.int32)), pa.array(low.astype(np.int32)), batch.column(0), n],
                         ["block", "choice", "low", "word", "n"])
@@ -189,16 +191,16 @@ _NEAR = "word string, near bigint, best_n bigint, best string"
 
 
 def _gram_pairs(codes: np.ndarray, length: np.ndarray, low: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (a, b) within the blocks at a squared distance of at most two, and their differences
-    in letter counts; a stands under its own length. Products of 1,024 rows at a time."""
-    counts = letter_counts(codes)
+    """Pairs (a, b) within the blocks at a squared distance of at most two, and the letter counts
+    of all words; a stands under its own length. Products of ``_TILE`` rows at a time."""
+    counts = letter_counts(codes).astype(np.int32)
     kind = np.float32 if length.max(initial=0) < 2_000 else np.float64  # sums are exact
     x = counts.astype(kind)
     square = (x * x).sum(axis=1)
     base = length == low
     left, right = [], []
-    for at in range(0, len(x), 1_024):
-        rows = slice(at, at + 1_024)
+    for at in range(0, len(x), _TILE):
+        rows = slice(at, at + _TILE)
         distance = square[rows, None] + square[None, :] - 2 * (x[rows] @ x.T)
         i, j = np.nonzero((distance <= 2) & base[rows, None] & (block[rows, None] == block[None, :]))
         i += at
@@ -206,7 +208,7 @@ def _gram_pairs(codes: np.ndarray, length: np.ndarray, low: np.ndarray, block: n
         left.append(i[ours])
         right.append(j[ours])
     a, b = np.concatenate(left), np.concatenate(right)
-    return a, b, counts[a] - counts[b]
+    return a, b, counts
 
 
 def _near_in_blocks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
@@ -215,11 +217,12 @@ def _near_in_blocks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[p
         words = table.column("word").to_pylist()
         codes, length = _letters(words)
         choice, low = np.asarray(table.column("choice")), np.asarray(table.column("low"))
-        a, b, difference = _gram_pairs(codes, length, low, block)
+        a, b, counts = _gram_pairs(codes, length, low, block)
         found = np.zeros(len(a), bool)
-        for lo in range(0, len(a), 1 << 15):
-            part = slice(lo, lo + (1 << 15))
-            found[part] = one_edit(codes, length, a[part], b[part]) & (_first_choice(difference[part], parts) == choice[a[part]])
+        step = max(1, _CHECKED // codes.shape[1])
+        for lo in range(0, len(a), step):
+            x, y = a[lo : lo + step], b[lo : lo + step]
+            found[lo : lo + step] = one_edit(codes, length, x, y) & (_first_choice(counts[x] - counts[y], parts) == choice[x])
         return _best(words, np.asarray(table.column("n")), a[found], b[found])
 
     held: pa.Table | None = None
@@ -283,7 +286,7 @@ def near_words(vocabulary: DataFrame, parts: int | None = None, block_rows: int
     """(word, n_near, best, best_n) of the words with near words, from a staged (word, n)."""
     if parts is None:
         rows = vocabulary.count()
-        parts = 3 if rows <= 1_000_000 else 4 if rows <= 10_000_000 else 5
+        parts = 4 if rows <= 1_000_000 else 5 if rows <= 10_000_000 else 6
     blocks = vocabulary.mapInArrow(partial(_blocks, parts=parts), _BLOCK)
     keys = ["block", "choice", "low"]
     sizes = blocks.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
