@@ -309,7 +309,8 @@ def _removed(texts: DataFrame, every: DataFrame, length: int, group_rows: int) -
     if n:
         window = [("h1", LongType()), ("h2", LongType()), *name, ("at", LongType())]
         single = stage(_mapped(spans.join(crowded, "digit", "left_semi"), _windows, window, length=length), "passage-windows")
-        firsts = single.groupBy("h1", "h2").agg(F.min(F.struct("id", "mark", "at")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        # staged, so that the rows of a window that stands in very many texts can be split in the join
+        firsts = stage(single.groupBy("h1", "h2").agg(F.min(F.struct("id", "mark", "at")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "passage-firsts")
         later = single.join(firsts.drop("n"), ["h1", "h2"]).where(F.struct("id", "mark", "at") != F.col("first"))
         found = found.unionByName(later.select("id", "mark", F.col("at").alias("begin"), (F.col("at") + length).alias("end")))
     return whole.unionByName(found)
