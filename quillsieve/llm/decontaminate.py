@@ -11,14 +11,19 @@ words is one window, an item without words has none. A word that no item has can
 in a match, so suffixes that begin within fewer known words than the shortest window
 are left out of the array.
 
-The benchmark is read in blocks of at most ``block_words`` words, so what goes to each
-task is bounded; the documents are passed over once per block, and there is one block up
-to that size. Null texts have no words. Items that share an id are one item.
+The benchmark is cut into blocks of about ``block_words`` words, so what a task holds of it
+is bounded: a shard of texts meets one block after another, and its words hit are joined
+over the blocks. Several blocks lie as files in the shared folder. The documents are passed
+over once, each row is judged by its own text, and no rows are matched by id, so rows that
+repeat an id or have none are as good as others. Null and empty texts have no words and are
+clean; a long text is a shard of its own; an empty table gives an empty result, an empty
+benchmark hits nothing. Items that share an id are one item. Ids of documents are longs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -27,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.common import binary_text, ranges, slices, starts_of
-from quillsieve.session import stage
+from quillsieve.llm.common import SharedFile, binary_text, open_fs, ranges, slices, starts_of
+from quillsieve.session import stage_path
 
 WINDOW = 10
 # Words of benchmark text that one pass takes along: about 50 MB in a task.
@@ -116,12 +121,29 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[byte
             yield part.column(0).to_pylist(), part.column(1).to_pylist()
 
 
-def _judge(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa.RecordBatch]:
-    for ids, raws in _shards(batches):
-        texts = [words_of(r) for r in raws]
-        n_words = np.array([len(t) for t in texts], np.int64)
-        starts = np.cumsum(n_words + 1) - n_words - 1
-        change = np.zeros(int((n_words + 1).sum()) + 1, np.int32)
+class Blocks:
+    """The windows of a benchmark: one block that goes along, or files that are read in turn."""
+
+    def __init__(self, held: Windows | None, paths: list[str]):
+        self._held, self._paths = held, paths
+
+    def __iter__(self) -> Iterator[Windows]:
+        if self._held is not None:
+            yield self._held
+        for path in self._paths:
+            system, place = open_fs(path)
+            with system.open_input_file(place) as file:
+                yield pickle.loads(file.read())
+
+
+def judged(raws: list[bytes | None], blocks: Blocks) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+    """(words, words hit, items sorted as strings) of each text of a shard."""
+    texts = [words_of(r) for r in raws]
+    n_words = np.array([len(t) for t in texts], np.int64)
+    starts = np.cumsum(n_words + 1) - n_words - 1
+    change = np.zeros(int((n_words + 1).sum()) + 1, np.int32)
+    items: list[list[str]] = [[] for _ in raws]
+    for windows in blocks:
         pairs = [np.zeros(0, np.int64)]
         for position, window in shard_matches(texts, windows):
             np.add.at(change, position, 1)
@@ -131,34 +153,39 @@ def _judge(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa.R
             doc, window = np.divmod(seen, len(windows.lengths))
             item = windows.owners[ranges(windows.first[window], windows.count[window])]
             pairs.append(np.unique(np.repeat(doc, windows.count[window]) * len(windows.names) + item))
-        hits = np.add.reduceat(np.cumsum(change[:-1]) > 0, starts).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
-        codes = np.unique(np.concatenate(pairs))
-        items: list[list[str]] = [[] for _ in ids]
-        for code in codes.tolist():
+        for code in np.unique(np.concatenate(pairs)).tolist():
             items[code // len(windows.names)].append(windows.names[code % len(windows.names)])
+    hits = np.add.reduceat(np.cumsum(change[:-1]) > 0, starts).astype(np.int64) if len(raws) else np.zeros(0, np.int64)
+    return n_words, hits, [sorted(set(own)) for own in items]
+
+
+def _judge(batches: Iterator[pa.RecordBatch], blocks: Blocks) -> Iterator[pa.RecordBatch]:
+    for ids, raws in _shards(batches):
+        n_words, hits, items = judged(raws, blocks)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(n_words), pa.array(hits), pa.array(items, pa.list_(pa.string()))],
             ["id", "n_words", "n_hit", "items"])
 
 
-def _spans(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa.RecordBatch]:
+def _spans(batches: Iterator[pa.RecordBatch], blocks: Blocks) -> Iterator[pa.RecordBatch]:
     for ids, raws in _shards(batches):
         texts = [words_of(r) for r in raws]
         starts = np.cumsum([len(t) + 1 for t in texts]) - [len(t) + 1 for t in texts]
-        place, window = (np.concatenate(x) for x in zip(*[(np.zeros(0, np.int64),) * 2, *shard_matches(texts, windows)], strict=True))
-        item = windows.owners[ranges(windows.first[window], windows.count[window])]
-        place, length = np.repeat(place, windows.count[window]), np.repeat(windows.lengths[window], windows.count[window])
-        order = np.lexsort((place, item))
-        place, item, end = place[order], item[order], (place + length)[order]
-        begins = np.flatnonzero(np.concatenate(([True], (item[1:] != item[:-1]) | (place[1:] != place[:-1] + 1)))) if len(item) else starts_of(item)
-        doc = np.searchsorted(starts, place[begins], "right") - 1
-        last = np.append(begins[1:], len(item))[: len(begins)] - 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([ids[d] for d in doc], pa.int64()), pa.array([windows.names[i] for i in item[begins]], pa.string()),
-             pa.array(place[begins] - starts[doc]), pa.array(end[last] - place[begins])], ["id", "item", "word", "words"])
-
-
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int, block_words: int) -> Iterator[Windows]:
+        for windows in blocks:
+            place, window = (np.concatenate(x) for x in zip(*[(np.zeros(0, np.int64),) * 2, *shard_matches(texts, windows)], strict=True))
+            item = windows.owners[ranges(windows.first[window], windows.count[window])]
+            place, length = np.repeat(place, windows.count[window]), np.repeat(windows.lengths[window], windows.count[window])
+            order = np.lexsort((place, item))
+            place, item, end = place[order], item[order], (place + length)[order]
+            begins = np.flatnonzero(np.concatenate(([True], (item[1:] != item[:-1]) | (place[1:] != place[:-1] + 1)))) if len(item) else starts_of(item)
+            doc = np.searchsorted(starts, place[begins], "right") - 1
+            last = np.append(begins[1:], len(item))[: len(begins)] - 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids[d] for d in doc], pa.int64()), pa.array([windows.names[i] for i in item[begins]], pa.string()),
+                 pa.array(place[begins] - starts[doc]), pa.array(end[last] - place[begins])], ["id", "item", "word", "words"])
+
+
+def _windows(benchmark: DataFrame, item_col: str, text_col: str, size: int, block_words: int) -> Iterator[Windows]:
     rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), binary_text(text_col))
     items, n, some = [], 0, False
     # blocks keep whole ids together, so that an id with several texts stays one item
@@ -173,47 +200,47 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int, block
         yield Windows(items, size)
 
 
-def _over_blocks(docs, benchmark, step, schema, id_col, text_col, item_col, item_text_col, window, block_words):
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int, block_words: int) -> Blocks:
+    """Block by block through the driver; a single one is handed on, others become files."""
+    folder, held, paths = None, None, []
+    for number, windows in enumerate(_windows(benchmark, item_col, text_col, size, block_words)):
+        if number == 0:
+            held = windows
+            continue
+        if held is not None:
+            folder, first, held = stage_path(benchmark.sparkSession, "benchmark"), held, None
+            paths.append(_written(f"{folder}/block-0", first))
+        paths.append(_written(f"{folder}/block-{number}", windows))
+    return Blocks(held, paths)
+
+
+def _written(path: str, windows: Windows) -> str:
+    file = SharedFile(path)
+    file.write(pickle.dumps(windows))
+    file.close()
+    return path
+
+
+def _searched(docs, benchmark, step, schema, id_col, text_col, item_col, item_text_col, window, block_words) -> DataFrame:
     narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    context = docs.sparkSession.sparkContext
-    parts = []
-    for number, windows in enumerate(_blocks(benchmark, item_col, item_text_col, window, block_words)):
-        sent = context.broadcast(windows)
-        part = narrow.mapInArrow(lambda batches, sent=sent: step(batches, sent.value), schema)
-        parts.append(part.withColumn("block", F.lit(number)))
-    return parts
+    sent = docs.sparkSession.sparkContext.broadcast(_blocks(benchmark, item_col, item_text_col, window, block_words))
+    return narrow.mapInArrow(lambda batches: step(batches, sent.value), schema)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text",
             window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(id, item, word, words): longest verbatim matches as first word and length. Windows
     of an item that follow one another word by word make one match."""
-    parts = _over_blocks(docs, benchmark, _spans, "id bigint, item string, word bigint, words bigint",
-                         id_col, text_col, item_col, item_text_col, window, block_words)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.drop("block")
+    return _searched(docs, benchmark, _spans, "id bigint, item string, word bigint, words bigint",
+                     id_col, text_col, item_col, item_text_col, window, block_words)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text",
                   window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(id, n_words, n_hit, items) of every document: words inside occurrences of windows,
-    and the ids of the items, sorted as strings. With several blocks of the benchmark the
-    words hit are counted from the spans of all of them."""
-    parts = _over_blocks(docs, benchmark, _judge, "id bigint, n_words bigint, n_hit bigint, items array<string>",
-                         id_col, text_col, item_col, item_text_col, window, block_words)
-    if len(parts) == 1:
-        return parts[0].drop("block")
-    both = parts[0]
-    for part in parts[1:]:
-        both = both.unionByName(part)
-    every = both.groupBy("id").agg(
-        F.first("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    spans = stage(matches(docs, benchmark, id_col, text_col, item_col, item_text_col, window, block_words), "contaminated-spans")
-    covered = spans.select("id", F.explode(F.sequence("word", F.col("word") + F.col("words") - 1)).alias("word")).distinct()
-    hits = covered.groupBy("id").agg(F.count(F.lit(1)).alias("n_hit"))
-    return every.join(hits, "id", "left").select("id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"), "items")
+    and the ids of the items, sorted as strings."""
+    return _searched(docs, benchmark, _judge, "id bigint, n_words bigint, n_hit bigint, items array<string>",
+                     id_col, text_col, item_col, item_text_col, window, block_words)
 
 
 def with_digest(judged: DataFrame) -> DataFrame:
@@ -224,16 +251,17 @@ def with_digest(judged: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", **settings) -> DataFrame:
-    """Documents without any occurrence of a window. The ids of the others are staged, so
-    the texts are searched once; a row with a null id is judged by its own text."""
-    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    hit = stage(contamination(docs, benchmark, id_col, text_col, **settings).where("n_hit > 0").select(F.col("id").alias(id_col)), "contaminated")
-    named = docs.join(hit, id_col, "left_anti").select(*docs.columns)
-    unnamed = docs.where(F.col(id_col).isNull())
-    if hit.where(F.col(id_col).isNull()).isEmpty():
-        return named
-    texts = unnamed.select(F.lit(0).cast("bigint").alias("n"), text_col, digest.alias("d")).dropDuplicates(["d"])
-    spans = matches(texts.withColumn("n", F.xxhash64("d")), benchmark, "n", text_col, **settings).select(F.col("id").alias("n")).distinct()
-    clean = unnamed.withColumn("n", F.xxhash64(digest)).join(spans, "n", "left_anti").select(*docs.columns)
-    return named.where(F.col(id_col).isNotNull()).unionByName(clean)
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text",
+                      window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Rows without any occurrence of a window, each judged by its own text in passing; ids
+    and other columns are not looked at."""
+    sent = docs.sparkSession.sparkContext.broadcast(_blocks(benchmark, item_col, item_text_col, window, block_words))
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, SHARD_BYTES, place):
+                _, hits, _ = judged(part.column(place).cast(pa.binary()).to_pylist(), sent.value)
+                yield part.filter(pa.array(hits == 0))
+
+    return docs.mapInArrow(run, docs.schema)
