@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from quillsieve.llm.common import binary_text, ranges, signed, starts_of
 from quillsieve.operators.dedup import connected_components
-from quillsieve.session import lookup_join, stage, stage_counted
+from quillsieve.session import BROADCAST_ROWS, lookup_join, stage, stage_counted
 
 BITS = 64
 HASH_SEED = 42
@@ -66,15 +66,15 @@ def fingerprint(raw: bytes | None, size: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp) of every row, fp as a long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS, *more: str) -> DataFrame:
+    """(id, fp) of every row, fp as a long; ``more`` names columns of longs that go along."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(x, size) for x in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed(found))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed(found)), *batch.columns[2:]], ["id", "fp", *more])
 
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), binary_text(text_col))
-    return narrow.mapInArrow(run, "id bigint, fp bigint")
+    narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), binary_text(text_col), *more)
+    return narrow.mapInArrow(run, ", ".join(f"{c} bigint" for c in ("id", "fp", *more)))
 
 
 def ball(bits: int, radius: int) -> np.ndarray:
@@ -241,6 +241,20 @@ def links(fps: DataFrame, distance: int = MAX_DISTANCE, segments: int = SEGMENTS
     return pairs, n
 
 
+def _rooted(own: DataFrame, distance: int, segments: int, bucket_rows: int) -> tuple[DataFrame, int]:
+    """(fp, root, component) of each fingerprint of a staged (id, fp): a fingerprint that names
+    the component, and the smallest id in it; and their number."""
+    distinct, n = stage_counted(own.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
+    pairs, found = links(distinct, distance, segments, bucket_rows)
+    if not found:
+        return distinct.select("fp", F.col("fp").alias("root"), F.col("first").alias("component")), n
+    trees = connected_components(pairs, found).select(F.col("id").alias("fp"), F.col("component").alias("root"))
+    rooted = stage(lookup_join(distinct, trees, ["fp"], "left", bound=2 * found).select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-trees")
+    least = rooted.groupBy("root").agg(F.min("first").alias("component"))
+    return lookup_join(rooted, least, ["root"], "inner", bound=n).select("fp", "root", "component"), n
+
+
 def simhash_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -253,27 +267,35 @@ def simhash_components(
     """(id, fp, component) of every row: the component is the smallest id reachable over
     links of at most ``distance`` bits, its own included."""
     own = stage(fingerprints(docs, id_col, text_col, size), "simhash")
-    distinct, n = stage_counted(own.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    pairs, found = links(distinct, distance, segments, bucket_rows)
-    if found:
-        trees = connected_components(pairs, found).select(F.col("id").alias("fp"), F.col("component").alias("root"))
-        rooted = stage(lookup_join(distinct, trees, ["fp"], "left", bound=2 * found).select(
-            "fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-trees")
-        least = rooted.groupBy("root").agg(F.min("first").alias("component"))
-        named = lookup_join(rooted, least, ["root"], "inner", bound=n).select("fp", "component")
-    else:
-        named = distinct.select("fp", F.col("first").alias("component"))
-    return lookup_join(own, named, ["fp"], "inner", bound=n).select("id", "fp", "component")
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """One row of each component: that with the smallest id. Rows that repeat an id are one
-    document and give one row. A row with a null id cannot be named and stays."""
-    members = stage(simhash_components(docs, id_col, text_col, **settings), "simhash-members")
-    removed = members.where("id <> component").select(F.col("id").alias(id_col))
-    kept = docs.join(removed, id_col, "left_anti").select(*docs.columns)
-    ids = members.where("id = component")
-    if ids.groupBy("id").count().where("count > 1").isEmpty():
-        return kept
-    named = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return named.unionByName(kept.where(F.col(id_col).isNull()))
+    named, n = _rooted(own, distance, segments, bucket_rows)
+    return lookup_join(own, named.select("fp", "component"), ["fp"], "inner", bound=n).select("id", "fp", "component")
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = SHINGLE_WORDS,
+    distance: int = MAX_DISTANCE,
+    segments: int = SEGMENTS,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """One row of each component: that with the smallest id, of several the one with the least
+    hash of its columns. Rows are told apart by id and that hash, so a row with another text
+    is not taken for its namesake. A row with a null id cannot be named and stays."""
+    hashed = [F.col(f"row.`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = docs.select(F.struct("*").alias("row")).select(
+        "row", F.col("row")[id_col].cast("bigint").alias("id"), F.col("row")[text_col].alias("text"), F.xxhash64(*hashed).alias("mark"))
+    own = stage(fingerprints(rows, "id", "text", size, "mark"), "simhash")
+    named, n = _rooted(own, distance, segments, bucket_rows)
+    members = stage(lookup_join(own.where("id IS NOT NULL"), named.select("fp", "root"), ["fp"], "inner", bound=n).select("id", "mark", "root"), "simhash-members")
+    first = members.groupBy("root").agg(F.min(F.struct("id", "mark")).alias("first")).select("root", "first.*")
+    several = members.groupBy("root", "id", "mark").agg(F.count(F.lit(1)).alias("rows"))
+    kept, alike = stage_counted(several.join(first, ["root", "id", "mark"]).where("rows > 1").select("id", "mark"), "simhash-alike")
+    # what goes is the smaller part; rows that do not stay are told by id and hash
+    gone = members.select("id", "mark").distinct().join(first.select("id", "mark"), ["id", "mark"], "left_anti")
+    left = rows.join(gone, ["id", "mark"], "left_anti")
+    if alike:  # rows that are equal in all columns
+        left = left.join(F.broadcast(kept) if alike <= BROADCAST_ROWS else kept, ["id", "mark"], "left_anti").unionByName(
+            left.join(F.broadcast(kept) if alike <= BROADCAST_ROWS else kept, ["id", "mark"], "left_semi").dropDuplicates(["id", "mark"]))
+    return left.select("row.*")
