@@ -13,6 +13,7 @@ end id only; rows with a null id come first; rows that repeat an id each give a
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -39,6 +40,8 @@ _POLYNOMIAL = 0x82F63B78  # CRC-32C, reflected
 _BLOCK = 256
 _CACHE_WORDS = 250_000
 _JOINED = 1_000
+# The cut into words that the shortcut of the encoder holds for (a fixed value of the file).
+_WORD_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # ASCII punctuation behind a letter that stays one letter in lower case.
 _PUNCTUATION = re.compile(r"[!-/:-@\[-`{-~](?<=[A-Za-zÀ-ÖØ-öø-ÿ].)")
 
@@ -114,10 +117,25 @@ def unframe(data: bytes, offsets: list[int]) -> list[bytes]:
     return payloads
 
 
+def _by_words(form: dict) -> bool:
+    """Whether a tokenizer's file folds case, drops white space and ends words with ``</w>``
+    in the way that :class:`Encoder` cuts texts for."""
+    def has(part: str, kind: str) -> list[dict]:
+        parts = form.get(part) or {}
+        return [p for p in parts.get("normalizers", parts.get("pretokenizers", [parts])) if p.get("type") == kind]
+
+    model = form.get("model") or {}
+    cut = [p for p in has("pre_tokenizer", "Split") if p.get("invert") and p.get("behavior") == "Removed"]
+    return (
+        model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("continuing_subword_prefix") and not model.get("dropout")
+        and bool(has("normalizer", "Lowercase")) and [p["pattern"].get("Regex") for p in cut] == [_WORD_CUT])
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizer that drops white space and ends words with ``</w>``.
+    """Ids of whole texts by a tokenizer.
 
-    A text's ids are those of its pieces between spaces, line breaks and the places where ASCII
+    Texts are encoded whole, unless the tokenizer's file says that it drops white space and
+    ends words with ``</w>``. Then a text's ids are those of its pieces between spaces, line breaks and the places where ASCII
     punctuation follows a Latin letter, as no word of the tokenizer reaches past these. The
     pieces' ids are remembered. New words of letters only are encoded many at a time and cut
     at the word ends; should the count of ends differ from that of words, and for all other
@@ -130,6 +148,8 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            self._words = _by_words(json.load(file))
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -164,6 +184,8 @@ class Encoder:
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """The ids of each text and the end id, in the width of the vocabulary."""
+        if not self._words:
+            return [np.append(ids, np.array([end_id], self.kind)).tobytes() for ids in self._each(texts)]
         pieces = [self.pieces(t) for t in texts]
         used = set(chain.from_iterable(pieces))
         if len(self._known) > _CACHE_WORDS:  # the pieces at hand stay, frequent ones among them
