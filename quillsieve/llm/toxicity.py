@@ -4,7 +4,9 @@ A document is a bag of sentences. A sentence is toxic with the probability of a
 model over its distinct words, each by itself and by its beginnings of four to six letters (for
 endings and compounds); a document is toxic unless none of its sentences is (noisy-or).
 The likelihood of the document labels trains the sentence weights, so scores point to the
-offending sentences without any sentence label.
+offending sentences without any sentence label. In a score, sentences below a probability of
+``EVIDENCE`` count once, by the highest of them: a text does not become toxic by the mere
+number of its neutral sentences, however long it is.
 
 The model is fitted on at most ``sample_docs`` labelled documents, those with the smallest
 hash of their id, with their whole texts and up to ``sample_bytes`` of them; scoring covers every sentence of every document.
@@ -43,6 +45,8 @@ _ROUNDS = 150
 _STEP = 0.15
 _L1 = 2e-4
 _BIAS = -6.0
+# Least probability of a sentence that counts by itself.
+EVIDENCE = 0.02
 
 
 def sentences(text: str) -> list[str]:
@@ -93,8 +97,9 @@ class SentenceModel:
     def score(self, text: str | None) -> float:
         if self.constant is not None:
             return self.constant
-        clean = [math.log1p(-min(p, 1 - 1e-12)) for p in self.sentence_scores(text or "")]
-        return -math.expm1(math.fsum(clean)) if clean else 0.0
+        scores = self.sentence_scores(text or "")
+        counted = [p for p in scores if p >= EVIDENCE] + [max((p for p in scores if p < EVIDENCE), default=0.0)]
+        return -math.expm1(math.fsum(math.log1p(-min(p, 1 - 1e-12)) for p in counted))
 
 
 def fit(docs: list[tuple[int, str]], min_docs: int = MIN_DOCS) -> SentenceModel:
@@ -175,12 +180,13 @@ def offending_sentences(docs: DataFrame, model: SentenceModel, id_col: str = "do
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(i, k, p, s) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                    for k, (p, s) in enumerate(zip(sent.value.sentence_scores(t or ""), sentences(t or ""), strict=True)) if p >= threshold]
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "sentence", "score", "text"])
+        for whole in batches:
+            for batch in slices(whole):
+                rows = [(i, k, p, s) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                        for k, (p, s) in enumerate(zip(sent.value.sentence_scores(t or ""), sentences(t or ""), strict=True)) if p >= threshold]
+                columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "sentence", "score", "text"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, "id bigint, sentence bigint, score double, text string")
@@ -201,8 +207,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [sent.value.score(t) < threshold for t in batch.column(place).to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for whole in batches:
+            for batch in slices(whole, column=place):
+                keep = [sent.value.score(t) < threshold for t in batch.column(place).to_pylist()]
+                yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
