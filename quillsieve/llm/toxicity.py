@@ -4,9 +4,9 @@ A document is a bag of sentences. A sentence is toxic with the probability of a
 model over its distinct words, each by itself and by its beginnings of four to six letters (for
 endings and compounds); a document is toxic unless none of its sentences is (noisy-or).
 The likelihood of the document labels trains the sentence weights, so scores point to the
-offending sentences without any sentence label. In a score, sentences below a probability of
-``EVIDENCE`` count once, by the highest of them: a text does not become toxic by the mere
-number of its neutral sentences, however long it is.
+offending sentences without any sentence label. In a score, all sentences below a probability
+of ``EVIDENCE`` together count for less than ``NEUTRAL``: a text does not become toxic by the
+mere number of its neutral sentences, however long it is.
 
 The model is fitted on at most ``sample_docs`` labelled documents, those with the smallest
 hash of their id, with their whole texts and up to ``sample_bytes`` of them; scoring covers every sentence of every document.
@@ -47,6 +47,8 @@ _L1 = 2e-4
 _BIAS = -6.0
 # Least probability of a sentence that counts by itself.
 EVIDENCE = 0.02
+# Most that the others can add to a score.
+NEUTRAL = 0.1
 
 
 def sentences(text: str) -> list[str]:
@@ -98,8 +100,9 @@ class SentenceModel:
         if self.constant is not None:
             return self.constant
         scores = self.sentence_scores(text or "")
-        counted = [p for p in scores if p >= EVIDENCE] + [max((p for p in scores if p < EVIDENCE), default=0.0)]
-        return -math.expm1(math.fsum(math.log1p(-min(p, 1 - 1e-12)) for p in counted))
+        clean = math.fsum(math.log1p(-min(p, 1 - 1e-12)) for p in scores if p >= EVIDENCE)
+        neutral = math.fsum(p for p in scores if p < EVIDENCE)
+        return -math.expm1(clean + math.log1p(NEUTRAL * math.expm1(-neutral / NEUTRAL)))
 
 
 def fit(docs: list[tuple[int, str]], min_docs: int = MIN_DOCS) -> SentenceModel:
