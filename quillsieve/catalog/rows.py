@@ -8,9 +8,9 @@ from quillsieve.catalog.registry import query
 from quillsieve.catalog.views import (
     CALLS, CONVS, DOCS, call_log, conversation_samples, document_samples, normalized_sql, strip_sql, table, words_sql,
 )
-from quillsieve.fixed_values import PRICES, TEMPLATES
+from quillsieve.fixed_values import TEMPLATES
 from quillsieve.functions import chat, keys, scales, text
-from quillsieve.operators import normalize, rules
+from quillsieve.operators import costs, normalize, rules
 
 
 def _head(column: str):
@@ -390,6 +390,21 @@ def _(spark, sf):
     )
 
 
+@query("d12_named_system_prompt", f"""WITH {CONVS}, p AS (SELECT id, instruction, CASE WHEN length(instruction) % 5 = 0 THEN '' WHEN length(instruction) % 5 = 1 THEN 'Own.'
+  WHEN length(instruction) % 5 = 2 THEN 'Be brief.' WHEN length(instruction) % 5 = 3 THEN 'Be exact.' END AS s FROM convs)
+SELECT id, CASE WHEN s <> '' THEN 'system,user' ELSE 'user' END AS roles, md5(CASE WHEN s <> '' THEN s || '|' ELSE '' END || instruction) AS contents FROM p""")
+def _(spark, sf):
+    form = F.length("instruction") % 5
+    override = F.when(form == 0, "").when(form == 1, "Own.")
+    name = F.when(form < 3, "short").when(form == 3, "exact").otherwise("unknown")
+    system = chat.system_prompt(override, name, {"short": "Be brief.", "exact": "Be exact."})
+    df = conversation_samples(spark, sf).withColumn("m", chat.build_messages(F.col("instruction"), system))
+    return df.select(
+        "id", F.array_join(F.transform("m", lambda x: x["role"]), ",").alias("roles"),
+        F.md5(F.array_join(F.transform("m", lambda x: x["content"]), "|")).alias("contents"),
+    )
+
+
 @query("d13_two_role_history", """
 WITH m AS (SELECT conv_id, turn, role, text FROM conversations)
 SELECT conv_id, turn, CASE WHEN role = 'system' THEN md5(text) END AS system_prompt,
@@ -425,10 +440,17 @@ def _(spark, sf):
 SELECT id, calls.model, round(coalesce(prompt_tokens / scale * p + completion_tokens / scale * c, 0), 9) AS call_cost
 FROM calls LEFT JOIN prices USING (model)""")
 def _(spark, sf):
-    prices = spark.createDataFrame(PRICES, "model string, unit string, prompt_price double, completion_price double")
-    priced = call_log(spark, sf).join(F.broadcast(prices), "model", "left")
-    cost = scales.usage_cost(F.col("unit"), F.col("prompt_price"), F.col("completion_price"), F.col("prompt_tokens"), F.col("completion_tokens"))
-    return priced.select("id", "model", F.round(cost, 9).alias("call_cost"))
+    priced = costs.with_cost(call_log(spark, sf), costs.price_table(spark))
+    return priced.select("id", "model", F.round("call_cost", 9).alias("call_cost"))
+
+
+@query("d15_default_model", f"""WITH {CALLS}, prices(model, p, c) AS (VALUES ('gemini-1.0-pro', 0.125::DOUBLE, 0.375::DOUBLE), ('gemini-1.5-flash-latest', 0.00125, 0.0025))
+SELECT id, calls.model, round(prompt_tokens / 1000.0::DOUBLE * coalesce(p, 0.00125) + completion_tokens / 1000.0::DOUBLE * coalesce(c, 0.0025), 9) AS call_cost
+FROM calls LEFT JOIN prices USING (model)""")
+def _(spark, sf):
+    prices = costs.price_table(spark).where("model LIKE 'gemini%' AND model <> 'gemini-1.5-pro-latest'")
+    priced = costs.with_cost(call_log(spark, sf), prices, default_model="gemini-1.5-flash-latest")
+    return priced.select("id", "model", F.round("call_cost", 9).alias("call_cost"))
 
 
 @query("d16_improvement", f"""WITH {CALLS}, v AS (SELECT id, CASE WHEN provider = 'view' THEN 0.0 ELSE prompt_tokens::DOUBLE END AS b, completion_tokens::DOUBLE AS a FROM calls)

@@ -65,6 +65,25 @@ def _(spark, sf):
     return kept.unionByName(rejected.withColumn("chars", F.lit(0).cast("bigint")))
 
 
+@query("s1_stream_store", f"""WITH {CONVS} SELECT id, domain, CASE WHEN domain = 'opening' THEN 'twice' ELSE 'once' END AS version, length(origin_text)::BIGINT AS chars FROM convs""")
+def _(spark, sf):
+    source, valid, bad, checkpoint, store = (stage_path(spark, f"store-{x}") for x in ("source", "valid", "bad", "checkpoint", "rows"))
+    record = F.to_json(F.struct("id", "instruction", "response", "metadata"))
+    samples = to_record(conversation_samples(spark, sf))
+
+    def drop(rows, version):
+        tagged = rows.withColumn("metadata", F.col("metadata").withField("source", F.lit(version)))
+        tagged.select(record.alias("value")).repartition(4, "value").write.mode("append").text(source)
+        # small enough for several micro-batches
+        ingest.start_ingest(spark, source, valid, bad, checkpoint, pattern="*.txt", batch_bytes=256 << 10).awaitTermination()
+
+    drop(samples, "once")
+    ingest.compact(spark, valid, store, buckets=8)
+    drop(samples.where("metadata.domain = 'opening'"), "twice")
+    found = ingest.ingested(spark, valid, store, buckets=8)
+    return found.select("id", F.col("metadata.domain").alias("domain"), F.col("metadata.source").alias("version"), F.length("response.origin_text").cast("bigint").alias("chars"))
+
+
 @query("s3_resume", f"WITH {CALLS} SELECT id, provider FROM calls WHERE provider <> 'click'")
 def _(spark, sf):
     calls = call_log(spark, sf).select("id", "provider")

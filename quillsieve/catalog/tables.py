@@ -65,7 +65,7 @@ def _(spark, sf):
         "id", "instruction", F.to_json("response").alias("response"), F.col("metadata.domain").alias("domain"), F.col("metadata.difficulty").alias("difficulty"),
     )
     flat.write.option("header", "true").option("quote", '"').option("escape", '"').option("quoteAll", "true").csv(path)
-    return _shown(nest_flat(readers.read_csv(spark, path)))
+    return _shown(nest_flat(readers.read_csv(spark, path, multiline=True)))
 
 
 @query("a4_tsv_scan", f"WITH {CONVS} {_SHOWN} FROM convs")
@@ -76,7 +76,7 @@ def _(spark, sf):
     )
     writer = flat.withColumn("part", F.col("domain")).write.partitionBy("part").option("header", "true").option("sep", "\t")
     writer.option("quote", '"').option("escape", '"').option("quoteAll", "true").csv(path)
-    return _shown(nest_flat(readers.read_csv(spark, path, fmt="tsv", pattern="*.csv")))
+    return _shown(nest_flat(readers.read_csv(spark, path, fmt="tsv", pattern="*.csv", multiline=True)))
 
 
 @query("a5_jsonl_sink", f"WITH {CONVS} {_SHOWN} FROM convs")
@@ -117,6 +117,58 @@ def _(spark, sf):
     return found.select("id", "domain", F.col("difficulty_bucket").cast("bigint").alias("bucket"))
 
 
+@query("a3_csv_split", """SELECT doc_id::VARCHAR AS id, lang AS domain, n_chars::VARCHAR AS chars, md5(coalesce(source, '')) AS source FROM documents""")
+def _(spark, sf):
+    path = stage_path(spark, "csv-lines")
+    flat = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("domain"), F.col("n_chars").alias("chars"), "source")
+    flat.write.option("header", "true").csv(path)
+    return readers.read_csv(spark, path).select("id", "domain", "chars", F.md5(F.coalesce("source", F.lit(""))).alias("source"))
+
+
+@query("a8_latest_file", f"WITH {DOCS} SELECT metadata_source AS source, count(*) AS records FROM (SELECT source AS metadata_source, domain FROM docs) WHERE domain = 'fr' GROUP BY 1")
+def _(spark, sf):
+    path = stage_path(spark, "drops")
+    docs = document_samples(spark, sf)
+    for domain in ("en", "de", "fr"):  # one small file of counts per drop
+        counts = docs.where(F.col("metadata.domain") == domain).groupBy(F.col("metadata.source").alias("source")).agg(F.count(F.lit(1)).alias("records"))
+        counts.coalesce(1).write.mode("append").option("ignoreNullFields", "false").json(path)
+    newest = readers.latest_file(spark, path, "*.json")
+    return spark.read.schema("source string, records bigint").json(newest)
+
+
+_FORMS = """CASE n_nationkey % 6 WHEN 0 THEN 'Say {instruction} in ' || n_name WHEN 1 THEN 'Answer "' || n_name || '": {response}'
+  WHEN 2 THEN 'First ' || n_name || chr(10) || '  deeper {domain}' || chr(10) || 'last' || chr(10)
+  WHEN 3 THEN 'folded ' || n_name || ' {difficulty} line' || chr(10) || 'next' WHEN 4 THEN 'it''s ' || n_name || ': {instruction}' END"""
+
+
+@query("a12_templates", f"SELECT 'n' || n_nationkey AS name, {_FORMS} AS template FROM nation WHERE n_nationkey % 6 < 5")
+def _(spark, sf):
+    form, n = F.col("n_nationkey") % 6, F.col("n_name")
+    value = (
+        F.when(form == 0, F.concat(F.lit("Say {instruction} in "), n))
+        .when(form == 1, F.to_json(F.struct(F.concat(F.lit('Answer "'), n, F.lit('": {response}')).alias("template"))))
+        .when(form == 2, F.concat(F.lit("name: x\ntemplate: |\n    First "), n, F.lit("\n      deeper {domain}\n    last\nother: 1\n")))
+        .when(form == 3, F.concat(F.lit("template: >-\n  folded "), n, F.lit("\n  {difficulty} line\n\n  next\n")))
+        .when(form == 4, F.concat(F.lit("template: 'it''s "), n, F.lit(": {instruction}'  # quoted\n")))
+        .otherwise(F.lit("template: [broken\n"))
+    )
+    kind = F.when(form == 0, "txt").when(form == 1, "json").otherwise("yaml")
+    files = table(spark, sf, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("name"), kind.alias("kind"), value.alias("value"))
+    found = readers.parse_templates(files)
+    return spark.createDataFrame(list(found.items()), "name string, template string")
+
+
+@query("a10_id_lookup", f"WITH {DOCS} SELECT id, domain, md5(origin_text) AS origin FROM docs WHERE id IN ('d17', 'd42', 'd99') OR id IN (SELECT 'd' || doc_id FROM labels WHERE toxic = 1)")
+def _(spark, sf):
+    path = stage_path(spark, "id-index")
+    lookup.write_id_index(document_samples(spark, sf), path, buckets=16)
+    toxic = table(spark, sf, "labels").where("toxic = 1").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"))
+    found = lookup.find_ids(spark, path, toxic)
+    for one in ("d17", "d42", "d99"):
+        found = found.unionByName(lookup.find_id(spark, path, one))
+    return found.select("id", F.col("metadata.domain").alias("domain"), F.md5("response.origin_text").alias("origin")).distinct()
+
+
 @query("a14_usage_sink", f"""WITH {CALLS} SELECT CASE WHEN grouping(provider) = 1 THEN 'all' ELSE provider END AS provider, count(*) AS total_requests, '2024-05-01' AS day FROM calls GROUP BY ROLLUP (provider)""")
 def _(spark, sf):
     path = stage_path(spark, "usage")

@@ -54,6 +54,15 @@ def build_messages(user: Column, system: Column) -> Column:
     return F.array_compact(F.array(F.when(system != "", message("system", system)), message("user", user)))
 
 
+def system_prompt(override: Column, template: Column, templates: dict[str, str]) -> Column:
+    """The system prompt of a request: the override unless it is null (an empty one means none),
+    else the template of that name; an unknown name gives none."""
+    named = F.lit(None).cast("string")
+    for name, text in templates.items():
+        named = F.when(template == name, F.lit(text)).otherwise(named)
+    return F.coalesce(override, named)
+
+
 def leading_system(messages: Column) -> Column:
     """Content of the first message when it is a system message, else null."""
     first = F.get(messages, 0)

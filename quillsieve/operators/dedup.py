@@ -6,23 +6,26 @@ best row of a cluster stays. The result equals comparing every pair, but pairs a
 only formed where needed:
 
 1. Exact duplicates are folded first, so a group of identical copies is one node.
-2. Each set keeps a prefix of its shingles in a common order; two similar sets share
-   a prefix shingle (prefix filter). The order puts rare shingles first. It uses
-   shingle counts in 65,536 hash slots, which is enough to keep frequent shingles out
-   of the prefixes; any common order gives the same result.
+2. Shingles are counted over all texts, and rare ones come first in a common order. Two
+   similar sets share a shingle in their prefixes (prefix filter). A shingle of one set only
+   takes a place in its prefix but is never looked up, so texts of their own that share
+   boilerplate have prefixes without partners. Only shingles of several sets are kept.
 3. Rows that share a prefix shingle form a bucket. A small bucket is compared pairwise,
-   so the pairs are at most a fixed multiple of the rows.
+   so the pairs are at most a fixed multiple of the rows; pairs whose sizes or places in
+   the order leave too little room for the rest of the overlap go before any sets move.
 4. A large bucket, such as many near copies of one text, is compared with a few
    pivots instead. Jaccard distance is a metric: a row within the limit of a pivot
    and closer to it than any row outside by more than the limit cannot be linked
    to anything but rows that are linked to the pivot too, so it leaves the bucket with that one
-   edge. What remains goes on with twice as many pivots until it is small. Only
-   edges that the components do not need are left out.
+   edge. Only edges that the components do not need are left out.
+5. What pivots do not settle, such as unlike texts with a frequent shingle in common, is
+   dealt out again by a further shingle: two similar sets also share a second one in
+   prefixes that are longer by one, a third one, and so on. Buckets get smaller at each step.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillsieve.fixed_values import SIMILARITY_THRESHOLD
@@ -32,8 +35,9 @@ from quillsieve.session import BROADCAST_ROWS, lookup_join, spread, stage, stage
 
 SHINGLE_WORDS = 3
 BUCKET_ROWS = 32
-_SLOTS = 65_536
 _PIVOTS = 4
+# Shingles that a bucket can have in common before it is worked off by pivots alone.
+_DEPTH = 6
 _SET_ROWS = 500  # sets are wide (up to one shingle per word), so few are broadcast
 _COLD_PAIRS = 1_000_000  # with fewer pairs no key can be hot enough to matter
 _EPS = 1e-9
@@ -61,9 +65,13 @@ def _keepers(rows: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(df: DataFrame, text: Column, score: Column) -> DataFrame:
-    """Keep the best row of each distinct text."""
-    keepers = exact_keepers(df, text, score).select(F.col("keeper").alias("id"))
-    return df.join(keepers, "id", "left_semi")
+    """Keep the best row of each distinct text. Only keys, scores and ids are shuffled to
+    find the copies that go; as long as those are few, the wide rows meet them in a
+    broadcast and stay where they are. Rows that share id and text are one row's copies
+    and stay or go together."""
+    narrow = stage(df.select(text_key(text).alias("text_key"), score.cast("double").alias("score"), "id"), "text-keys")
+    copies = lookup_join(narrow, _keepers(narrow).where("copies > 1"), ["text_key"], "inner").where("id <> keeper").select("id").distinct()
+    return lookup_join(df, copies, ["id"], "left_anti")
 
 
 def shingle_sets(df: DataFrame, text: Column) -> DataFrame:
@@ -79,48 +87,50 @@ def shingle_sets(df: DataFrame, text: Column) -> DataFrame:
     return sets.withColumn("size", F.size("shingles"))
 
 
-def _slot(shingle: Column) -> Column:
-    return F.pmod(shingle, F.lit(_SLOTS)).cast("int")
+def ordered_shingles(sets: DataFrame) -> DataFrame:
+    """(id, size, shingle, place) of the shingles that several sets have, as a staged table. The
+    places of a set go from 1, rare shingles first; those of its own shingles come before
+    and have no row."""
+    every = sets.select("id", "size", F.explode("shingles").alias("shingle"))
+    counts = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = lookup_join(every, counts, ["shingle"], "inner")
+    in_set = Window.partitionBy("id")
+    place = F.col("size") - F.count(F.lit(1)).over(in_set) + F.row_number().over(in_set.orderBy("n", "shingle"))
+    return stage(shared.select("id", "size", "shingle", place.cast("int").alias("place")), "ordered-shingles")
 
 
-def _frequency_levels(sets: DataFrame) -> Column:
-    """Log2 of the shingle count per hash slot, as a constant array."""
-    counts = sets.select(F.explode("shingles").alias("x")).groupBy(_slot(F.col("x")).alias("slot")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    levels = ["0"] * _SLOTS
-    for r in counts.collect():  # at most one row per slot
-        levels[r["slot"]] = str(r["n"].bit_length())
-    return F.split(F.lit(",".join(levels)), ",").cast("array<int>")
-
-
-def prefix_postings(sets: DataFrame, threshold: float) -> DataFrame:
-    """(token, id, size) for the prefix shingles of each set. A token is one number, the
-    frequency level above 57 bits of the hash, so sorting tokens gives the common
-    order. Two shingles with the same token only add a candidate."""
-    levels = _frequency_levels(sets)
-
-    def token(x: Column) -> Column:
-        level = F.coalesce(F.get(levels, _slot(x)), F.lit(0)).cast("bigint")
-        return F.shiftleft(level, 57).bitwiseOR(F.shiftrightunsigned(x, 7))
-
-    ordered = F.sort_array(F.transform("shingles", token))
-    length = F.col("size") - F.ceil(F.col("size") * threshold - _EPS).cast("int") + 1
-    return sets.select(
-        F.explode(F.array_distinct(F.slice(ordered, F.lit(1), length))).alias("token"), "id", "size"
-    )
+def _least_overlap(size: Column, threshold: float) -> Column:
+    return F.ceil(size * threshold - _EPS).cast("int")
+
+
+def prefix_postings(ordered: DataFrame, threshold: float) -> DataFrame:
+    """(token, id, size, place) of the prefix shingles of each set."""
+    return ordered.where(F.col("place") <= F.col("size") - _least_overlap(F.col("size"), threshold) + 1).select(
+        F.col("shingle").alias("token"), "id", "size", "place")
+
+
+def _deeper(left: DataFrame, ordered: DataFrame, depth: int, threshold: float) -> DataFrame:
+    """Rows of a bucket dealt out by a further shingle behind the last one: the pairs of a
+    bucket of ``depth`` common shingles share one more in prefixes of ``depth`` places more.
+    Two sets so small that they may have no more in common also meet again as they are."""
+    again = left.where(_least_overlap(F.col("size"), threshold) <= depth).withColumn("token", F.xxhash64("token", F.lit("again")))
+    further = ordered.where(F.col("place") <= F.col("size") - _least_overlap(F.col("size"), threshold) + depth + 1).select(
+        "id", "shingle", F.col("place").alias("next"))
+    return left.join(further, "id").where(F.col("next") > F.col("place")).select(
+        F.xxhash64("token", "shingle").alias("token"), "id", "size", F.col("next").alias("place")).unionByName(again)
 
 
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Add the Jaccard similarity ``jaccard`` to distinct pairs (a, b). A pivot can be the b
+    """Add the Jaccard similarity ``jaccard`` to distinct pairs (a, b); ``sets`` hold the
+    shingles that others have too, and the size of the whole set. A pivot can be the b
     side of very many pairs, so large pair tables take the join that treats hot keys
     apart."""
     pairs, n = stage_counted(pairs, "pairs")
     if n <= BROADCAST_ROWS:  # shuffle only the sets that some pair needs
         needed = pairs.select(F.explode(F.array("a", "b")).alias("id"))
         sets = sets.join(F.broadcast(needed), "id", "left_semi")
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"), F.col("size").alias("na"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"), F.col("size").alias("nb"))
     both = pairs.join(left, "a")
     if n <= _COLD_PAIRS:
         both = both.join(right, "b")
@@ -128,7 +138,7 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         right = right.join(pairs.select("b").distinct(), "b", "left_semi")
         both = lookup_join(both, right, ["b"], "inner", max_rows=_SET_ROWS, hot_share=_SET_ROWS)
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.withColumn("jaccard", common / (F.size("sa") + F.size("sb") - common)).drop("sa", "sb")
+    return both.withColumn("jaccard", common / (F.col("na") + F.col("nb") - common)).drop("sa", "sb", "na", "nb")
 
 
 def _sized_alike(a: Column, b: Column, limit: float) -> Column:
@@ -136,16 +146,20 @@ def _sized_alike(a: Column, b: Column, limit: float) -> Column:
 
 
 def _bucket_pairs(postings: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs of small buckets that pass the size filter."""
-    a = postings.select("token", F.col("id").alias("a"), F.col("size").alias("na"))
-    b = postings.select("token", F.col("id").alias("b"), F.col("size").alias("nb"))
-    joined = a.join(b, "token").where((F.col("a") < F.col("b")) & _sized_alike(F.col("na"), F.col("nb"), threshold))
-    return joined.select("a", "b").distinct()
+    """Distinct pairs of small buckets that pass the size and the place filter. If the shingles of
+    the bucket are the first that a pair shares, all others lie behind their places."""
+    a = postings.select("token", F.col("id").alias("a"), F.col("size").alias("na"), F.col("place").alias("pa"), "depth")
+    b = postings.select("token", F.col("id").alias("b"), F.col("size").alias("nb"), F.col("place").alias("pb"), F.col("depth").alias("db"))
+    joined = a.join(b, "token").where((F.col("a") < F.col("b")) & (F.col("depth") == F.col("db")) & _sized_alike(F.col("na"), F.col("nb"), threshold))
+    most = F.col("depth") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    needed = (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - _EPS
+    return joined.where(most >= needed).select("a", "b").distinct()
 
 
 def _with_bucket_size(postings: DataFrame) -> tuple[DataFrame, int]:
     """Buckets of two and more rows with their size and smallest id, and the number of
     rows in buckets, as a staged table."""
+    postings = stage(postings, "bucket-rows")
     buckets = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
     return stage_counted(lookup_join(postings, buckets, ["token"], "inner"), "postings")
 
@@ -156,12 +170,20 @@ def similar_edges(
     """Edges (a, b) of true pairs whose components are those of all true pairs, as a
     staged table, and their number."""
     limit = 1.0 - threshold
-    active, rows = _with_bucket_size(prefix_postings(sets, threshold))
-    small, edges, rounds = active.where(F.col("n") <= bucket_rows), [], 0
+    ordered = ordered_shingles(sets)
+    sets = stage(ordered.groupBy("id").agg(F.collect_list("shingle").alias("shingles"), F.max("size").alias("size")), "shared-shingles")
+    active, rows = _with_bucket_size(prefix_postings(ordered, threshold))
+    depth, rounds, edges, small = 1, 0, [], []
+
+    def small_ones(table: DataFrame) -> DataFrame:
+        return table.where(F.col("n") <= bucket_rows).select("token", "id", "size", "place", F.lit(depth).alias("depth"))
+
+    small.append(small_ones(active))
     active = active.where(F.col("n") > bucket_rows)
     while rows and not active.isEmpty():
         # the same hash in every bucket: rows that share many buckets share their pivots
-        drawn = hash60(F.lit(str(rounds)), F.col("id")) / F.lit(2.0**60) * F.col("n") < _PIVOTS * 2**rounds
+        wanted = _PIVOTS * 2 ** max(0, rounds - 2 * _DEPTH)
+        drawn = hash60(F.lit(str(rounds)), F.col("id")) / F.lit(2.0**60) * F.col("n") < wanted
         pivots = active.where(drawn | (F.col("id") == F.col("first"))).select(
             "token", F.col("id").alias("b"), F.col("size").alias("nb")
         )
@@ -184,12 +206,18 @@ def similar_edges(
             F.col("nearest_outside").isNull() | (F.col("d") < F.col("nearest_outside") - limit - _EPS)
         ).select("token", F.col("a").alias("id"))
         gone = settled.unionByName(pivots.select("token", F.col("b").alias("id")))
-        left = active.select("token", "id", "size").join(gone, ["token", "id"], "left_anti")
+        left = active.select("token", "id", "size", "place").join(gone, ["token", "id"], "left_anti")
+        if rounds % 2 and depth < _DEPTH:
+            left = _deeper(stage(left, "unsettled"), ordered, depth, threshold)
+            depth += 1
         active, rows = _with_bucket_size(left)
-        small = small.unionByName(active.where(F.col("n") <= bucket_rows))
+        small.append(small_ones(active))
         active = active.where(F.col("n") > bucket_rows)
         rounds += 1
-    pairs = similarities(_bucket_pairs(small, threshold), sets)
+    postings = small[0]
+    for more in small[1:]:
+        postings = postings.unionByName(more)
+    pairs = similarities(_bucket_pairs(postings, threshold), sets)
     found = pairs.where(F.col("jaccard") >= threshold - _EPS).select("a", "b")
     for e in edges:
         found = found.unionByName(e)

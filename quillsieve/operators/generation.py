@@ -17,33 +17,40 @@ from quillsieve.functions.keys import hash60
 from quillsieve.operators.normalize import with_seed_lineage
 from quillsieve.operators.ranking import top_rows, with_ordinal
 from quillsieve.operators.rules import initial_filter
-from quillsieve.session import stage
+from quillsieve.session import stage_counted
 
 
-def _by_ordinal(slots: DataFrame, ordered: DataFrame) -> DataFrame:
-    """Join slots to seeds on the ordinal. Slots per seed are even by construction."""
-    return slots.join(ordered, "ordinal").drop("ordinal")
+# Slots of one seed that are joined under one key.
+SLOTS_PER_TASK = 100_000
 
 
-def round_robin_plan(seeds: DataFrame, count: int) -> DataFrame:
+def _by_ordinal(slots: DataFrame, ordered: DataFrame, size: int, count: int, slots_per_task: int) -> DataFrame:
+    """Join slots to seeds on the ordinal. Slots per seed are even by construction; where few
+    seeds have very many slots each, a seed is repeated under several keys, so that its
+    slots are spread over as many tasks."""
+    salts = max(1, -(-count // max(size * slots_per_task, 1)))
+    salted = slots.withColumn("__salt", F.pmod(F.floor(F.col("slot") / max(size, 1)), F.lit(salts)))
+    repeated = ordered.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return salted.join(repeated, ["ordinal", "__salt"]).drop("ordinal", "__salt")
+
+
+def round_robin_plan(seeds: DataFrame, count: int, slots_per_task: int = SLOTS_PER_TASK) -> DataFrame:
     """Slot i uses seed ``i mod S``, with the seeds in the order of :func:`with_ordinal`."""
-    ordered = stage(with_ordinal(seeds), "seed-order")
-    size = ordered.count()
+    ordered, size = stage_counted(with_ordinal(seeds), "seed-order")
     slots = seeds.sparkSession.range(count if size else 0).select(
         F.col("id").alias("slot"), F.pmod(F.col("id"), F.lit(max(size, 1))).alias("ordinal")
     )
-    return _by_ordinal(slots, ordered.withColumnRenamed("id", "seed_id"))
+    return _by_ordinal(slots, ordered.withColumnRenamed("id", "seed_id"), size, count, slots_per_task)
 
 
-def random_plan(seeds: DataFrame, target: int, batch_size: int = 10, seed: str = "0") -> DataFrame:
+def random_plan(seeds: DataFrame, target: int, batch_size: int = 10, seed: str = "0", slots_per_task: int = SLOTS_PER_TASK) -> DataFrame:
     """Batches of ``batch_size`` different seeds (all seeds if there are fewer) until the
     target is reached.
 
     A random offset per batch selects a run of consecutive seeds in hash order, so a
     batch never repeats a seed and the plan is one equi-join, not batches times seeds.
     """
-    ordered = stage(with_ordinal(seeds), "seed-order")
-    size = ordered.count()
+    ordered, size = stage_counted(with_ordinal(seeds), "seed-order")
     batches = -(-target // batch_size) if size else 0
     per_batch = max(min(batch_size, size), 1)
     start = F.pmod(hash60(F.lit(seed), F.col("batch")), F.lit(max(size, 1)))
@@ -51,7 +58,7 @@ def random_plan(seeds: DataFrame, target: int, batch_size: int = 10, seed: str =
         F.col("id").alias("slot"),
         F.floor(F.col("id") / per_batch).alias("batch"), F.pmod(F.col("id"), F.lit(per_batch)).alias("place"),
     ).withColumn("ordinal", F.pmod(start + F.col("place"), F.lit(max(size, 1))))
-    return _by_ordinal(slots.drop("place"), ordered.withColumnRenamed("id", "seed_id"))
+    return _by_ordinal(slots.drop("place"), ordered.withColumnRenamed("id", "seed_id"), size, batches * per_batch, slots_per_task)
 
 
 def requests(

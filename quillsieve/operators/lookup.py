@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from quillsieve.fixed_values import DIFFICULTY_BUCKETS
 from quillsieve.functions.keys import hash60
 from quillsieve.functions.scales import bucket_of, difficulty_bucket
 from quillsieve.operators.ranking import top_rows
+from quillsieve.session import stage_counted
 
 DOMAIN = "metadata.domain"
 DIFFICULTY = "metadata.difficulty"
@@ -85,3 +88,51 @@ def read_index(spark: SparkSession, path: str, domain: str | None = None, low: f
         lo, hi = bucket_of(0.0 if low is None else low, buckets), bucket_of(1.0 if high is None else high, buckets)
         df = df.where(F.col("difficulty_bucket").between(lo, hi))
     return df
+
+
+ID_BUCKETS = 256
+_ID_COLUMN = "id_of_"  # and the number of buckets, so that a reader knows it
+_FEW_IDS = 100_000
+
+
+def _id_bucket(sample_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(sample_id), F.lit(buckets)).cast("int")
+
+
+def write_id_index(df: DataFrame, path: str, buckets: int = ID_BUCKETS, row_group_bytes: int = 16 << 20) -> None:
+    """Write the table bucketed by a hash of the id and sorted by it, with a Bloom filter on the
+    id, so that a lookup opens one bucket's files and reads the row groups that may hold it.
+    Rows without an id are in a bucket of their own and are spread by their content."""
+    name = f"{_ID_COLUMN}{buckets}"
+    unnamed = F.col("id").isNull()
+    placed = df.withColumn(name, F.when(unnamed, F.lit(-1)).otherwise(_id_bucket(F.col("id"), buckets)))
+    salt = F.when(unnamed, F.pmod(F.xxhash64("instruction"), F.lit(64)))
+    writer = placed.repartition(name, salt).sortWithinPartitions(name, "id").write.mode("overwrite").partitionBy(name)
+    writer.option("parquet.bloom.filter.enabled#id", "true").option("parquet.block.size", row_group_bytes).parquet(path)
+
+
+def _id_index(spark: SparkSession, path: str) -> tuple[DataFrame, str, int]:
+    index = spark.read.parquet(path)
+    name = next((c for c in index.columns if re.fullmatch(_ID_COLUMN + r"\d+", c)), None)
+    if name is None:
+        raise ValueError(f"no id index at {path}")
+    return index, name, int(name.removeprefix(_ID_COLUMN))
+
+
+def find_id(spark: SparkSession, path: str, sample_id: str) -> DataFrame:
+    """Point lookup in an id index: one bucket is listed, and in it only row groups whose
+    range and Bloom filter admit the id are read."""
+    index, name, buckets = _id_index(spark, path)
+    return index.where((F.col(name) == _id_bucket(F.lit(sample_id), buckets)) & (F.col("id") == sample_id)).drop(name)
+
+
+def find_ids(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame:
+    """Rows of an id index whose id is in ``ids``. Few ids are pushed down as a list to their
+    buckets; more are joined within the buckets that have any."""
+    index, name, buckets = _id_index(spark, path)
+    wanted, n = stage_counted(ids.select("id").dropna().distinct().withColumn(name, _id_bucket(F.col("id"), buckets)), "wanted-ids")
+    used = [r[name] for r in wanted.select(name).distinct().collect()]  # at most the number of buckets
+    part = index.where(F.col(name).isin(used))
+    if n <= 1_000:
+        return part.where(F.col("id").isin([r["id"] for r in wanted.collect()])).drop(name)
+    return part.join(F.broadcast(wanted) if n <= _FEW_IDS else wanted, [name, "id"], "left_semi").drop(name)

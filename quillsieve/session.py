@@ -76,6 +76,8 @@ BROADCAST_ROWS = 200_000
 # A key with more than one part in this many of all rows is hot; so there are at most
 # this many hot keys.
 HOT_SHARE = 2000
+# Bytes for each core from which an input is not small.
+LARGE_BYTES = 128 << 20
 
 
 def lookup_join(
@@ -103,21 +105,30 @@ def lookup_join(
     lookup, rows = stage_counted(lookup, "lookup")
     if rows <= max_rows:
         return df.join(F.broadcast(lookup), on, how)
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    limit = df.count() / hot_share
-    hot_keys = counts.where(F.col("__n") > limit).select(*on).dropna().collect()
-    if not hot_keys:
-        return df.join(lookup, on, how)
-    hot = F.broadcast(df.sparkSession.createDataFrame(hot_keys, df.select(*on).schema))
-    warm = df.join(hot, on, "left_semi").join(F.broadcast(lookup.join(hot, on, "left_semi")), on, how)
-    return warm.unionByName(df.join(hot, on, "left_anti").join(lookup, on, how))
+    # rows without a key match nothing and need not meet in one task
+    without = " OR ".join(f"`{k}` IS NULL" for k in on)
+    keyed, loose = df.where(f"NOT ({without})"), df.where(without)
+    total = Observation()
+    counts = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).observe(total, F.sum("__n").alias("rows"))
+    most = counts.orderBy(F.col("__n").desc()).limit(hot_share).collect()
+    limit = (total.get["rows"] or 0) / hot_share
+    hot_keys = [r[:-1] for r in map(tuple, most) if r[-1] > limit]
+    if hot_keys:
+        hot = F.broadcast(df.sparkSession.createDataFrame(hot_keys, df.select(*on).schema))
+        warm = keyed.join(hot, on, "left_semi").join(F.broadcast(lookup.join(hot, on, "left_semi")), on, how)
+        joined = warm.unionByName(keyed.join(hot, on, "left_anti").join(lookup, on, how))
+    else:
+        joined = keyed.join(lookup, on, how)
+    if how == "left":
+        return joined.unionByName(loose, allowMissingColumns=True)
+    return joined.unionByName(loose) if how == "left_anti" else joined
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a small input by hash of the keys when it has fewer partitions than there
-    are cores (say, one file with one row group). An input with enough partitions,
-    so any large one, is returned as it is and not shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    """Repartition a small input by hash of the keys, as it may be one file with one row
+    group. An input that the optimizer takes for large is returned as it is: it has
+    partitions enough. No job is started to find out."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df if int(size) >= cores * LARGE_BYTES else df.repartition(cores, *keys)

@@ -6,6 +6,8 @@ becomes the typed sample row.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,12 +98,12 @@ def explode_documents(docs: DataFrame, column: str = "doc") -> tuple[DataFrame,
 
 def read_csv(
     spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None,
-    pattern: str | None = None, multiline: bool = True,
+    pattern: str | None = None, multiline: bool = False,
 ) -> DataFrame:
     """Flat rows of CSV or TSV files with a header. Without a schema the columns are
     named by the header and read as strings (typed later with ``try_cast``), which
-    needs no inference pass over the data. Quoted fields may span lines, which keeps a
-    file in one task; without such fields pass ``multiline=False`` to split files."""
+    needs no inference pass over the data. Files are split; where quoted fields span lines,
+    pass ``multiline=True``, which keeps a file in one task."""
     reader = _finder(spark, pattern or pattern_for(fmt)).option("header", "true").option("sep", "\t" if fmt == "tsv" else ",")
     reader = reader.option("quote", '"').option("escape", '"').option("multiLine", str(multiline).lower())
     return reader.schema(schema).csv(path) if schema else reader.csv(path)
@@ -146,9 +148,8 @@ def record_to_sample(record: Column) -> list[Column]:
 
 
 def read_templates(spark: SparkSession, path: str | None = None) -> dict[str, str]:
-    """Prompt templates by file name: the ``template`` key of JSON files, the whole text
-    of txt files, a ``template: |`` block of YAML files. Without any, the built-in
-    ones. Templates are configuration (a handful of files), so they are returned to
+    """Prompt templates by file name: the ``template`` key of JSON and YAML files, the whole
+    text of txt files. Without any, the built-in ones. Templates are configuration (a handful of files), so they are returned to
     the driver, which compiles them into the prompt expression."""
     if path is None:
         return dict(TEMPLATES)
@@ -156,13 +157,34 @@ def read_templates(spark: SparkSession, path: str | None = None) -> dict[str, st
         F.regexp_extract("_metadata.file_path", r"([^/]+)\.([A-Za-z]+)$", 1).alias("name"),
         F.lower(F.regexp_extract("_metadata.file_path", r"([^/]+)\.([A-Za-z]+)$", 2)).alias("kind"), "value",
     )
-    block = F.regexp_extract("value", r"(?m)^template:\s*\|-?[ ]*\n((?:(?:[ ]{2}.*)?(?:\n|\z))+)", 1)
-    inline = F.regexp_extract("value", r"(?m)^template:[ ]*[\"']?([^|\n\"']+)[\"']?[ ]*$", 1)
-    yaml = F.when(block != "", F.regexp_replace(block, r"(?m)^ {2}", "")).when(inline != "", inline)
-    text = (
-        F.when(F.col("kind") == "txt", F.col("value"))
-        .when(F.col("kind") == "json", F.get_json_object("value", "$.template"))
-        .otherwise(yaml)
-    )
-    found = {r["name"]: r["t"] for r in files.select("name", text.alias("t")).where("t is not null").collect()}
+    found = parse_templates(files)
     return {"basic_generation": TEMPLATES["basic_generation"], **found} if found else dict(TEMPLATES)
+
+
+def parse_templates(files: DataFrame) -> dict[str, str]:
+    """Templates of files given as (name, kind, value). A file that cannot be parsed, is no
+    object or has no text under ``template`` is left out."""
+    found = {}
+    for name, kind, value in files.select("name", "kind", "value").collect():
+        if kind == "txt":
+            found[name] = value
+            continue
+        try:
+            parsed = json.loads(value) if kind == "json" else _yaml(value)
+        except ValueError:
+            continue
+        if isinstance(parsed, dict) and isinstance(parsed.get("template"), str):
+            found[name] = parsed["template"]
+    return found
+
+
+def _yaml(value: str):
+    """A YAML document; the parser is only needed for such files."""
+    try:
+        import yaml
+    except ImportError as missing:
+        raise RuntimeError("reading YAML templates needs PyYAML") from missing
+    try:
+        return yaml.safe_load(value)
+    except yaml.YAMLError as broken:
+        raise ValueError(str(broken)) from broken

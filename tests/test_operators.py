@@ -325,3 +325,30 @@ def test_components_of_a_long_chain(spark):
     found = {r["id"]: r["component"] for r in dedup.connected_components(df, len(pairs)).collect()}
     assert set(found.values()) == {"000", "051"} and len(found) == 101
     assert all(found[f"{i:03d}"] == ("000" if i <= 50 else "051") for i in range(101))
+
+
+def test_unlike_rows_with_boilerplate_are_not_compared(spark, monkeypatch):
+    """Texts of their own around one frequent passage: pairs stay linear in the rows."""
+    rng = random.Random(2)
+    passage = " ".join(f"p{i}" for i in range(8))
+    rows = [(f"{i:04d}", " ".join(f"x{rng.randrange(10**6)}" for _ in range(20)) + " " + passage, 1.0) for i in range(600)]
+    rows += [(f"c{i:03d}", rows[i][1] + " tail", 1.0) for i in range(30)]
+    df = spark.createDataFrame(rows, "id string, text string, score double")
+    seen = []
+    similarities = dedup.similarities
+    monkeypatch.setattr(dedup, "similarities", lambda pairs, sets: seen.append(pairs.count()) or similarities(pairs, sets))
+    assert dedup.duplicate_clusters(df, F.col("text"), F.col("score"), 0.85).count() == 60
+    assert sum(seen) <= 60
+
+
+@pytest.mark.parametrize("bucket_rows", [4, 1000])
+def test_short_rows_of_frequent_shingles(spark, bucket_rows):
+    """Buckets of unlike rows that pivots cannot settle are dealt out by further shingles."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(3, 14))) for _ in range(250)]
+    df = spark.createDataFrame([(f"{i:04d}", t, 1.0) for i, t in enumerate(texts)], "id string, text string, score double")
+    rows = dedup.duplicate_clusters(df, F.col("text"), F.col("score"), 0.7, bucket_rows).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(r["cluster"], []).append(int(r["id"]))
+    assert sorted(sorted(g) for g in groups.values()) == _brute(texts, 0.7)
