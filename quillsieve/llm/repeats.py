@@ -9,12 +9,16 @@ depends on the window's bytes only, and neighbouring windows mostly share it, so
 pass deals out runs of windows (a row for about 75 suffixes). Runs whose digit occurs once
 leave. Runs that are equal as a whole are repeats as a whole, and one of them stands for
 all. The windows of the others are sorted by four digits of a quarter of the bytes each,
-in a task for each digit of the first pass. A digit with more than ``group_rows`` runs is
-not gathered; its windows are grouped by an aggregation over all their digits.
-
-Digits are 64-bit hashes of the bytes; two windows are taken for equal when five of them
-agree. Null and short texts have no windows. Rows with equal ids are told apart by their
-texts; equal rows repeat each other.
+in a task for each digit of the first pass. Runs are counted by digit before they are
+dealt out: a digit with more than ``group_rows`` or ``GROUP_BYTES`` is not gathered; its windows are
+grouped by an aggregation over all their digits.
+
+Digits are 64-bit hashes of the bytes, so the order within a pass is that of the hashes;
+groups of equal windows do not depend on it. Two windows are taken for equal when five digits
+agree. Null, empty and short texts have no windows; a long text is hashed in pieces. Rows with
+equal ids are told apart by their texts. Rows that are equal in id and text are looked at
+once, and as they repeat each other, all their bytes go if they have a window. Ids are
+longs, null among them; other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,11 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillsieve.llm.common import ranges, signed, slices, starts_of
-from quillsieve.session import stage
+from quillsieve.session import stage, stage_counted
 
 LENGTH = 200
 DIGITS = 4
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
+GROUP_BYTES = 16 << 20
 # Bytes of one text that are hashed at a time, and bytes of runs that are sorted at a time.
 PIECE = 1 << 20
 SPAN_BYTES = 2 << 20
@@ -177,11 +182,9 @@ def _intervals(owner: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarr
     return owner[begin], at[begin], at[last] + length
 
 
-def _sort_groups(batches: Iterator[pa.RecordBatch], length: int, group_rows: int) -> Iterator[pa.RecordBatch]:
-    """(id, mark, begin, end, full) of the repeats of whole groups, rows sorted by the first
-    digit. A group that is too large gives one row with its digit as ``full``."""
-    names = ["id", "mark", "begin", "end", "full"]
-
+def _sort_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """(id, mark, begin, end) of the repeats of whole groups, rows sorted by the first digit.
+    Groups are sorted together up to about ``SPAN_BYTES``."""
     def sort(table: pa.Table) -> Iterator[pa.RecordBatch]:
         if not table.num_rows:
             return
@@ -193,41 +196,31 @@ def _sort_groups(batches: Iterator[pa.RecordBatch], length: int, group_rows: int
         at = np.asarray(table.column("at"))[span]
         rows_ = pa.array(span)
         column = lambda name: table.column(name).combine_chunks().take(rows_)
-        yield pa.RecordBatch.from_arrays([column("id"), column("mark"), pa.array(at + begin), pa.array(at + end), pa.nulls(len(span), pa.int64())], names)
+        yield pa.RecordBatch.from_arrays([column("id"), column("mark"), pa.array(at + begin), pa.array(at + end)], ["id", "mark", "begin", "end"])
 
     held: list[pa.RecordBatch] = []
-    rows, size, passed = 0, 0, None
+    size = 0
     for batch in chain(batches, [None]):
         if batch is not None:
-            if passed is not None:
-                batch = batch.filter(pa.array(np.asarray(batch.column(0)) != passed))
             held.append(batch)
-            rows, size = rows + batch.num_rows, size + batch.column(5).nbytes
-            if size < SPAN_BYTES and rows <= group_rows:
+            size += batch.column(5).nbytes
+            if size < SPAN_BYTES:
                 continue
         table = pa.Table.from_batches(held) if held else None
         if table is None or not table.num_rows:
             continue
-        digit = np.asarray(table.column(0))
-        begin = starts_of(digit)
-        count = np.diff(np.append(begin, len(digit)))
-        full = count > group_rows
-        if full.any():
-            n = int(full.sum())
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(n, pa.int64())] * 4, pa.array(digit[begin[full]])], names)
-        ripe = np.repeat(~full, count)
-        held, rows, size, passed = [], 0, 0, digit[-1] if full[-1] else None
-        if batch is not None and not full[-1]:
-            ripe[begin[-1] :] = False
-            held = table.slice(int(begin[-1])).combine_chunks().to_batches()
-            rows, size = sum(b.num_rows for b in held), sum(b.column(5).nbytes for b in held)
-        yield from sort(table.filter(pa.array(ripe)).combine_chunks())
+        begin = starts_of(np.asarray(table.column(0)))
+        held, size, whole = [], 0, table.num_rows
+        if batch is not None:  # the last group may go on
+            whole = int(begin[-1])
+            held = table.slice(whole).combine_chunks().to_batches()
+            size = sum(b.column(5).nbytes for b in held)
+        yield from sort(table.slice(0, whole).combine_chunks())
 
 
 def _explode(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 200):
-            part = batch.slice(at, 200)
+        for part in slices(batch, 1 << 18, 5):
             digits, owner, window = window_digits(part.column("span").to_pylist(), length)
             rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
@@ -283,7 +276,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removed runs of bytes."""
     if length % DIGITS:
         raise ValueError(f"the length must be a multiple of {DIGITS}")
-    texts = _texts(docs, id_col, text_col)
+    rows = _texts(docs, id_col, text_col)
+    repeated, n = stage_counted(rows.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "repeat-rows")
+    texts = rows.dropDuplicates(["id", "mark"]) if n else rows
     every = stage(texts.mapInArrow(partial(_scan, length=length), _RUN), "repeat-runs")
     several = stage(every.groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digit"), "repeat-first-digits")
     live = stage(every.where("windows > 0").join(several, "digit", "left_semi"), "repeat-live")
@@ -297,23 +292,33 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # only digits with open runs need the run that stands for its equals
     opened = stage(spans.where("state = 1").select("digit").distinct(), "repeat-open")
     needed = spans.join(opened, "digit", "left_semi")
-    found = stage(needed.repartition("digit").sortWithinPartitions("digit").mapInArrow(
-        partial(_sort_groups, length=length, group_rows=group_rows), "id bigint, mark bigint, begin bigint, end bigint, full bigint"), "repeat-found")
-    parts = found.where("full IS NULL").drop("full")
-    full = found.where("full IS NOT NULL").select(F.col("full").alias("digit")).distinct()
-    if not full.isEmpty():
-        parts = parts.unionByName(_large_groups(spans.join(full, "digit", "left_semi"), length))
+    crowded, many = stage_counted(needed.groupBy("digit").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("span")).alias("bytes")).where((F.col("n") > group_rows) | (F.col("bytes") > GROUP_BYTES)).select("digit"), "repeat-crowded")
+    gathered = needed.join(crowded, "digit", "left_anti") if many else needed
+    parts = gathered.repartition("digit").sortWithinPartitions("digit").mapInArrow(
+        partial(_sort_groups, length=length), "id bigint, mark bigint, begin bigint, end bigint")
+    if many:
+        parts = parts.unionByName(_large_groups(needed.join(crowded, "digit", "left_semi"), length))
     whole = touched.select("id", "mark", F.explode("runs").alias("r")).where("r.state <> 1").select(
         "id", "mark", F.col("r.at").alias("begin"), (F.col("r.at") + F.col("r.windows") + (length - 1)).alias("end"))
-    removed = whole.unionByName(parts).groupBy("id", "mark").agg(F.collect_set(F.struct("begin", "end")).alias("removed"))
+    removed = whole.unionByName(parts).groupBy("id", "mark").agg(F.collect_list(F.struct("begin", "end")).alias("removed"))
     cut = touched.drop("runs").alias("t").join(removed.alias("r"), _same("t", "r")).select("t.id", "t.text", "t.mark", "r.removed")
-    changed = cut.mapInArrow(_finish, _CHANGED).dropDuplicates(["id", "mark"])
+    changed = cut.mapInArrow(_finish, _CHANGED)
     # most texts keep every byte, so only what is known of them is joined
-    base = texts.select("id", "mark", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
+    base = rows.select("id", "mark", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     zero = F.lit(0).cast("bigint")
-    return base.alias("b").join(changed.alias("c"), _same("b", "c"), "left").select(
-        "b.id", "b.n_bytes", F.coalesce("c.n_removed", zero).alias("n_removed"), F.coalesce("c.n_spans", zero).alias("n_spans"),
+    out = base.alias("b").join(changed.alias("c"), _same("b", "c"), "left").select(
+        "b.id", "b.mark", "b.n_bytes", F.coalesce("c.n_removed", zero).alias("n_removed"), F.coalesce("c.n_spans", zero).alias("n_spans"),
         F.coalesce("c.kept_sha256", "b.sha").alias("kept_sha256"), F.coalesce("c.spans", F.array()).alias("spans"))
+    if n:
+        gone = F.col("r.rows").isNotNull() & (F.col("o.n_bytes") >= length)
+        every_byte = F.array(F.struct(zero.alias("begin"), F.col("o.n_bytes").alias("end")))
+        out = out.alias("o").join(repeated.alias("r"), _same("o", "r"), "left").select(
+            "o.id", "o.n_bytes", F.when(gone, F.col("o.n_bytes")).otherwise(F.col("o.n_removed")).alias("n_removed"),
+            F.when(gone, F.lit(1).cast("bigint")).otherwise(F.col("o.n_spans")).alias("n_spans"),
+            F.when(gone, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.col("o.kept_sha256")).alias("kept_sha256"),
+            F.when(gone, every_byte).otherwise(F.col("o.spans")).alias("spans"))
+    return out.drop("mark")
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:

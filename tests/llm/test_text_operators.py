@@ -237,3 +237,14 @@ def test_dropped_repeats(spark):
     kept = dict(rows(repeats.drop_repeats(frame)))
     expected = {r[0]: r[4] for r in plain.repeats([(1, "first " + shared), (2, shared + "second")])}
     assert {i: hashlib.sha256(k).hexdigest() for i, k in kept.items()} == expected
+
+
+def test_many_equal_rows_are_looked_at_once(spark):
+    """Rows that are equal in id and text, also without an id: one of them is worked off."""
+    text = " ".join(f"w{k}" for k in range(800))
+    some = [(1, text)] * 1_500 + [(None, text)] * 500 + [(2, text[:300] + "x"), (3, "short")] + [(4, "short")] * 3
+    found = spans(spark.createDataFrame(some, "doc_id bigint, text string").repartition(4))
+    once = plain.repeats([(1, text), (None, text), (2, text[:300] + "x"), (3, "short"), (4, "short")])
+    same(set(found), set(once))
+    assert {r[1:] for r in found if r[0] in (1, None)} == {(len(text), len(text), 1, hashlib.sha256(b"").hexdigest())}
+    assert len(found) == len(some)
