@@ -279,6 +279,29 @@ def test_best_fit_decreasing():
     assert sharding.pack([], 10) == [] == sharding.balance([], 3)
 
 
+@pytest.mark.parametrize(("capacity", "range_bins"), [(200, 256), (1_000, 8), (20_000, 2), (150_000, 256)])
+def test_shards_of_a_fixed_capacity(spark, monkeypatch, capacity, range_bins):
+    """Thousands of groups, one of them larger than any shard, in several ranges."""
+    monkeypatch.setattr(sharding, "RANGE_BINS", range_bins)
+    draw = random.Random(capacity)
+    docs = [(i, f"{i} " + "x" * draw.randint(0, 90)) for i in range(6_000)] + [(10_000 + i, "copy " * 10) for i in range(40)] + [(None, None), (20_000, "")]
+    found = sharding.assign(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), capacity=capacity).collect()
+    assert len(found) == len(docs)
+    sizes, groups, slots = Counter(), defaultdict(set), defaultdict(list)
+    for r in found:
+        sizes[r["shard"]] += r["size"]
+        groups[r["text_crc32"]].add(r["shard"])
+        slots[r["shard"]].append(r["slot"])
+    assert all(len(s) == 1 for s in groups.values())
+    assert sorted(sizes) == list(range(len(sizes)))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    over = [s for s, n in sizes.items() if n > capacity]
+    copies = 40 * (50 + 8)
+    assert len(over) == (copies > capacity)
+    total = sum(sizes.values())
+    assert len(sizes) <= 1.25 * -(-total // capacity) + 2
+
+
 # URL filter
 
 
