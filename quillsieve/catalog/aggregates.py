@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from quillsieve.catalog.registry import query
 from quillsieve.catalog.views import ASSESSED, CALLS, CONVS, DOCS, assessed_documents, call_log, conversation_samples, document_samples, table
-from quillsieve.operators import reports, rules, stats, verify
+from quillsieve.operators import reports, rollups, rules, stats, verify
 from quillsieve.operators.gates import metric
-from quillsieve.session import stage
+from quillsieve.session import stage, stage_path
 
 
 @query("f1_seed_statistics", f"""WITH {DOCS}
@@ -147,3 +147,49 @@ def _(spark, sf):
     )
     out = reports.rationale_answer_relation(df, ["domain"])
     return out.select("domain", *[F.round(c, 6).alias(c) for c in ("rationale_mean", "answer_mean", "correlation")])
+
+
+# --- merged runs -----------------------------------------------------------------
+
+def _runs(spark, sf):
+    """The partials of the documents in three runs, each written from its own rows."""
+    path = stage_path(spark, "partials")
+    docs = document_samples(spark, sf)
+    for k in range(3):
+        rollups.write_partials(docs.where(F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(3)) == k), path, f"run{k}", F.col("metadata.source"))
+    return rollups.read_partials(spark, path)
+
+
+@query("f1_merged_statistics", f"""WITH {DOCS}
+SELECT count(*) AS count, count(DISTINCT source) AS file_count, round(avg(difficulty), 9) AS difficulty_mean,
+       min(difficulty) AS difficulty_min, max(difficulty) AS difficulty_max FROM docs""")
+def _(spark, sf):
+    return rollups.merged_seed_statistics(_runs(spark, sf)).withColumn("difficulty_mean", F.round("difficulty_mean", 9))
+
+
+@query("f2_merged_statistics", f"""WITH {DOCS}, b AS (SELECT *, least(floor(difficulty * 5), 4)::INT AS bucket FROM docs)
+SELECT 'total' AS kind, NULL AS key, count(*) AS count FROM b UNION ALL SELECT 'distinct_ids', NULL, count(DISTINCT id) FROM b
+UNION ALL SELECT 'domains', NULL, count(DISTINCT domain) FROM b UNION ALL SELECT 'domain', domain, count(*) FROM b GROUP BY domain
+UNION ALL SELECT 'bucket', bucket::VARCHAR, count(*) FROM b GROUP BY bucket""")
+def _(spark, sf):
+    return rollups.merged_index_statistics(_runs(spark, sf))
+
+
+@query("f6_merged_usage", f"""WITH {CALLS} SELECT coalesce(provider, 'all') AS provider, count(*) AS total_requests, count(*) FILTER (WHERE error IS NULL) AS successful_requests,
+  count(error) AS failed_requests, sum(tokens)::BIGINT AS total_tokens, round(sum(cost), 4) AS total_cost FROM calls GROUP BY ROLLUP (provider)""")
+def _(spark, sf):
+    path, calls = stage_path(spark, "usage-runs"), call_log(spark, sf)
+    for k in range(3):
+        part = calls.where(F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(3)) == k)
+        stats.usage_metrics(part).write.parquet(f"{path}/run_id=run{k}")
+    return rollups.merged_usage(spark.read.parquet(path)).select(
+        "provider", "total_requests", "successful_requests", "failed_requests", "total_tokens", F.round("total_cost", 4).alias("total_cost"))
+
+
+@query("f8_merged_statistics", f"""WITH {DOCS}
+SELECT count(*) AS count, count(DISTINCT domain) AS domains, round(avg(difficulty), 9) AS avg_difficulty,
+  round(avg(length(instruction)), 6) AS avg_instruction_length, round(avg(length(origin_text)), 6) AS avg_response_length FROM docs""")
+def _(spark, sf):
+    merged = rollups.merged_final_statistics(_runs(spark, sf))
+    return merged.select("count", "domains", F.round("avg_difficulty", 9).alias("avg_difficulty"), F.round("avg_instruction_length", 6).alias("avg_instruction_length"),
+                         F.round("avg_response_length", 6).alias("avg_response_length"))

@@ -11,7 +11,8 @@ from quillsieve.catalog.views import (
 )
 from quillsieve.operators import dedup, diversity, lookup, normalize, ranking, reports, selection
 from quillsieve.operators.gates import metric
-from quillsieve.session import stage
+from quillsieve.session import stage, stage_path
+from quillsieve.sources import writers
 
 
 def _r(column, digits: int = 6):
@@ -333,6 +334,19 @@ def _(spark, sf):
     return made.join(seeds, "seed_id", "left_anti").select("id")
 
 
+@query("g3_lineage_bucketed", f"""WITH {CONVS} SELECT t.conv_id || ':' || t.turn AS id FROM conversations t
+WHERE role = 'assistant' AND 'c' || conv_id || '_' || (turn - 1) NOT IN (SELECT id FROM convs WHERE domain = 'opening')""")
+def _(spark, sf):
+    seed_path, made_path = stage_path(spark, "seeds"), stage_path(spark, "made")
+    writers.write_bucketed(conversation_samples(spark, sf).where("metadata.domain = 'opening'").select(F.col("id").alias("seed_id")), seed_path, "seed_id", 8)
+    writers.write_bucketed(table(spark, sf, "conversations").where("role = 'assistant'").select(
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
+        F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("_"), (F.col("turn") - 1).cast("string")).alias("seed_id"),
+    ), made_path, "seed_id", 8)
+    made, seeds = (writers.read_bucketed(spark, p, "seed_id", 8) for p in (made_path, seed_path))
+    return made.join(seeds, "seed_id", "left_anti").select("id")
+
+
 @query("i1_concat_samples", f"""WITH {DOCS}, {CONVS}
 SELECT id, domain, NULL::DOUBLE AS score FROM docs UNION ALL SELECT id, domain, 1.0::DOUBLE FROM convs""")
 def _(spark, sf):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillsieve.catalog.registry import query
 from quillsieve.catalog.views import CALLS, CONVS, conversation_samples, table, call_log
 from quillsieve.session import stage_path
-from quillsieve.sources.writers import to_record
+from quillsieve.sources.writers import read_bucketed, to_record, write_bucketed
 from quillsieve.streaming import ingest, usage
 
 
@@ -90,3 +90,13 @@ def _(spark, sf):
     done = stage_path(spark, "done")
     calls.where("provider = 'click'").write.parquet(done)
     return ingest.pending(calls, spark.read.parquet(done))
+
+
+@query("s3_resume_bucketed", f"WITH {CALLS} SELECT id, provider FROM calls WHERE provider NOT IN ('click', 'view')")
+def _(spark, sf):
+    calls = call_log(spark, sf).select("id", "provider")
+    work, done = stage_path(spark, "work"), stage_path(spark, "done")
+    write_bucketed(calls, work, buckets=8)
+    write_bucketed(calls.where("provider = 'click'").select("id"), done, buckets=8)
+    write_bucketed(calls.where("provider = 'view'").select("id"), done, buckets=8, mode="append")
+    return ingest.pending(read_bucketed(spark, work, buckets=8), read_bucketed(spark, done, buckets=8))

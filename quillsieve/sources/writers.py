@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quillsieve.sources.readers import list_files
 
+# Buckets of a stage table that is joined by id.
+BUCKETS = 64
+
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     """One JSON object per line, replacing what is there; parent folders are made."""
@@ -43,6 +48,38 @@ def read_stage(spark: SparkSession, path: str, run_id: str | None = None) -> Dat
     return spark.read.parquet(f"{path}/run_id={run_id}")
 
 
+def write_bucketed(df: DataFrame, path: str, key: str = "id", buckets: int = BUCKETS, mode: str = "overwrite") -> None:
+    """Write a table bucketed and sorted by a hash of the key. Tables with the same buckets
+    join on the key without a shuffle; ``mode="append"`` adds files to the buckets. The
+    table is entered in the session's catalog under a name made from its path."""
+    where = f"{path}/by_{key}_{buckets}"
+    name = _table_name(where)
+    if mode == "overwrite":
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    elif not df.sparkSession.catalog.tableExists(name):
+        _register(df.sparkSession, where, key, buckets)
+    spread = df.repartition(buckets, key)  # each task writes whole buckets
+    spread.write.format("parquet").mode(mode).bucketBy(buckets, key).sortBy(key).option("path", where).saveAsTable(name)
+
+
+def read_bucketed(spark: SparkSession, path: str, key: str = "id", buckets: int = BUCKETS) -> DataFrame:
+    """A table of :func:`write_bucketed`, also one that another session wrote."""
+    where = f"{path}/by_{key}_{buckets}"
+    if not spark.catalog.tableExists(_table_name(where)):
+        _register(spark, where, key, buckets)
+    return spark.table(_table_name(where))
+
+
+def _table_name(where: str) -> str:
+    return "bucketed_" + hashlib.md5(where.encode()).hexdigest()
+
+
+def _register(spark: SparkSession, where: str, key: str, buckets: int) -> None:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(where).schema)
+    spark.sql(
+        f"CREATE TABLE {_table_name(where)} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{where}'")
+
+
 def append_seed(valid: DataFrame, path: str) -> int:
     """Append validated rows to the seed store as JSONL; the count is taken on the way."""
     seen = Observation()

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillsieve.functions import chat
-from quillsieve.operators import costs, generation, lookup
+from quillsieve.operators import costs, generation, lookup, rollups, stats
 from quillsieve.session import lookup_join
-from quillsieve.sources import readers
+from quillsieve.sources import readers, writers
 from quillsieve.streaming import ingest
 
 
@@ -113,3 +113,41 @@ def test_three_seeds_and_many_slots(spark):
     plan = generation.round_robin_plan(seeds, 3_000, slots_per_task=100)
     assert {r["seed_id"]: r["count"] for r in plan.groupBy("seed_id").count().collect()} == {"s0": 1000, "s1": 1000, "s2": 1000}
     assert sorted(r["slot"] for r in plan.collect()) == list(range(3_000))
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(1_000).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("id"), F.col("id").alias("v"))
+    writers.write_bucketed(rows, f"{tmp_path}/work", buckets=8)
+    writers.write_bucketed(rows.where("v % 2 = 0").select("id"), f"{tmp_path}/done", buckets=8)
+    spark.sql(f"DROP TABLE {writers._table_name(f'{tmp_path}/done/by_id_8')}")  # as in another session
+    writers.write_bucketed(rows.where("v % 3 = 0").select("id"), f"{tmp_path}/done", buckets=8, mode="append")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = ingest.pending(*(writers.read_bucketed(spark, f"{tmp_path}/{n}", buckets=8) for n in ("work", "done")))
+        assert "Exchange" not in left._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["v"] for r in left.collect()) == [v for v in range(1_000) if v % 2 and v % 3]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_merged_runs_equal_one_scan(spark, tmp_path):
+    rows = spark.range(900).select(
+        F.concat(F.lit("s"), (F.col("id") % 700).cast("string")).alias("id"), F.repeat(F.lit("x"), (F.col("id") % 7).cast("int")).alias("instruction"),
+        F.struct(F.when(F.col("id") % 5 > 0, F.lit("text")).alias("origin_text")).alias("response"),
+        F.struct(F.when(F.col("id") % 4 > 0, F.concat(F.lit("d"), (F.col("id") % 4).cast("string"))).alias("domain"),
+                 F.when(F.col("id") % 9 > 0, (F.col("id") % 11) / 10.0).alias("difficulty"), (F.col("id") % 13).cast("string").alias("file")).alias("metadata"))
+    for k in range(3):
+        rollups.write_partials(rows.where((F.crc32(F.col("id").cast("binary")) % 3) == k), str(tmp_path), f"r{k}", F.col("metadata.file"))
+    rollups.write_partials(rows.where((F.crc32(F.col("id").cast("binary")) % 3) == 2), str(tmp_path), "r2", F.col("metadata.file"))  # repeated
+    partials = rollups.read_partials(spark, str(tmp_path))
+
+    def same(found, expected):
+        a, b = (sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=str) for df in (found, expected))
+        for x, y in zip(a, b, strict=True):
+            assert [pytest.approx(v, abs=1e-9) if isinstance(v, float) else v for v in x] == list(y)
+
+    same(rollups.merged_seed_statistics(partials), stats.seed_statistics(rows, F.col("metadata.file")))
+    same(rollups.merged_index_statistics(partials), stats.index_statistics(rows))
+    same(rollups.merged_final_statistics(partials), stats.final_statistics(rows))
+    estimate = {r["kind"]: r["count"] for r in rollups.merged_index_statistics(partials, exact=False).collect() if r["key"] is None}
+    assert abs(estimate["distinct_ids"] - 700) < 40 and estimate["total"] == 900
