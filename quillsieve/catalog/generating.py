@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quillsieve.catalog.registry import query
 from quillsieve.catalog.selecting import _kde_sql, _quota_sql
-from quillsieve.catalog.views import CONVS, DOCS, conversation_samples, distinct_ratio_sql, document_samples, hash60_sql, strip_sql, table, words_sql
+from quillsieve.catalog.views import CONVS, DOCS, conversation_samples, distinct_ratio_sql, document_samples, hash60_sql, strip_sql, table, uniform_sql, words_sql
 from quillsieve.fixed_values import TEMPLATES
 from quillsieve.operators import generation, ranking
 from quillsieve.plans import stages
@@ -128,14 +128,40 @@ def _(spark, sf):
     )
 
 
+def _drawn(spark, samples):
+    from quillsieve.functions.keys import uniform
+
+    return samples.select("id", *[uniform(F.lit(m), F.col("id")).alias(f"{m}_score") for m in ("ifd", "limr", "less")])
+
+
+_FULL = _CURATED.replace("SELECT id, domain, band, round(score, 6) AS score FROM picked", "final AS (SELECT id, domain, band, round(score, 6) AS score FROM picked") + f"""),
+drawn AS (SELECT *, {uniform_sql("'ifd:' || id")} * 0.4 + {uniform_sql("'limr:' || id")} * 0.3 + {uniform_sql("'less:' || id")} * 0.3 AS ensemble FROM final)
+SELECT id, domain, band, score, round(ensemble, 9) AS ensemble FROM drawn ORDER BY ensemble DESC, {hash60_sql('id')}, id LIMIT 30"""
+
+
+@query("p1_full_run_rows", _FULL.replace("\nfinal AS", ",\nfinal AS"))
+def _(spark, sf):
+    from quillsieve.functions.scales import difficulty_band
+    from quillsieve.operators.gates import metric
+
+    samples = conversation_samples(spark, sf)
+    scores = _drawn(spark, samples)
+    run = Curation(
+        spark, stage_path(spark, "full-run"), "20240501T123015", seed=stages.seed_stage, assess=_assess, select=_select,
+        advanced=lambda df: stages.advanced_stage(df, scores, 30),
+    )
+    return run.run(samples).select(
+        "id", F.col("metadata.domain").alias("domain"), difficulty_band(metric("instruction_complexity")).alias("band"),
+        F.round("selection_score", 6).alias("score"), F.round("ensemble_score", 9).alias("ensemble"),
+    )
+
+
 @query("p1_full_run", f"""WITH {CONVS}, ok AS (SELECT * FROM convs WHERE length({strip_sql('instruction')}) >= 10 AND length({strip_sql('origin_text')}) >= 10 AND {strip_sql('instruction')} <> {strip_sql('origin_text')})
 SELECT 'seed' AS stage, count(*) AS count FROM ok UNION ALL SELECT 'assessed', count(*) FROM ok
 UNION ALL SELECT 'filtered', least(50, count(*)) FROM ok UNION ALL SELECT 'advanced', least(30, count(*)) FROM ok""")
 def _(spark, sf):
-    from quillsieve.functions.keys import uniform
-
     samples = conversation_samples(spark, sf)
-    scores = samples.select("id", *[uniform(F.lit(m), F.col("id")).alias(f"{m}_score") for m in ("ifd", "limr", "less")])
+    scores = _drawn(spark, samples)
     run = Curation(
         spark, stage_path(spark, "full-run"), "20240501T123015", seed=stages.seed_stage, assess=_assess,
         select=lambda df: stages.filtering_stage(df, target=50, quality_threshold=0.0, gate={"thresholds": {}, "rationale_threshold": 0.0, "answer_threshold": 0.0}),

@@ -7,7 +7,6 @@ import hashlib
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quillsieve.sources.readers import list_files
 
 # Buckets of a stage table that is joined by id.
 BUCKETS = 64
@@ -36,15 +35,22 @@ def write_stage(df: DataFrame, path: str, run_id: str) -> int:
     return seen.get["rows"]
 
 
+def _folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a folder, in any file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [entry.getPath().getName() for entry in system.listStatus(where)] if system.exists(where) else []
+
+
 def read_stage(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """One run of a stage table, the latest (greatest run id as a string) by default. Only
-    that run's folder is read; the latest is found by listing files, not by opening them. A
-    run that is not there raises."""
+    that run's folder is read; the latest is found from the names of the runs' folders, the
+    files in them are not listed. A run that is not there raises."""
     if run_id is None:
-        run = F.regexp_extract("path", r"/run_id=([^/]+)/[^/]*$", 1)
-        run_id = list_files(spark, path, "*.parquet").agg(F.max(run).alias("r")).first()["r"]
-        if not run_id:
+        runs = [name.removeprefix("run_id=") for name in _folder_names(spark, path) if name.startswith("run_id=")]
+        if not runs:
             raise FileNotFoundError(f"no run below {path}")
+        run_id = max(runs)
     return spark.read.parquet(f"{path}/run_id={run_id}")
 
 
