@@ -1,15 +1,16 @@
 """WARC archives whose records are compressed one by one with a Zstandard dictionary.
 
 An archive is a ``.warc.zst`` file: a skippable frame with the dictionary, then a frame
-per record. The dictionary is built from the first records of the archive (up to
+per record, the first of them a ``warcinfo`` record. The dictionary is built from the first records of the archive (up to
 ``SAMPLE_BYTES``, held until it is built); an archive with too little to learn from has
 none. An index row (archive, offset, length) per record serves readers that want few.
 
 Of the records with equal payloads of at least ``minimum`` bytes the one with the smallest
-id is a response with the payload; the others are revisits that name it and carry the
-headers only. Smaller payloads are all responses.
+id is a response with the payload; the others are revisits that name its record and
+address and carry the headers only. Smaller payloads are all responses.
 
-Null payloads are empty. Rows with a null id are written as responses of their own and stay apart from
+Null payloads are empty, and so is a null address; a long payload is a record like any other.
+An empty table gives no archives, and further columns are not read. Rows with a null id are written as responses of their own and stay apart from
 the groups. Rows that repeat an id and a payload are one response and revisits of it.
 """
 
@@ -53,20 +54,34 @@ def _line(value: str) -> str:
     return " ".join(value.split())
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def _framed(fields: list[str], block: bytes) -> bytes:
+    """A record of header fields and a block, with the block's digest and length."""
+    fields = ["WARC/1.1", *fields, f"WARC-Block-Digest: sha1:{digest(block)}", f"Content-Length: {len(block)}"]
+    return "\r\n".join(fields).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def info_record(name: str) -> bytes:
+    """The record that opens an archive."""
+    return _framed([
+        "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>", f"WARC-Date: {_DATE}",
+        f"WARC-Filename: {name}", "Content-Type: application/warc-fields"], b"format: WARC File Format 1.1\r\n")
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, refers_uri: str | None = None) -> bytes:
     """The bytes of one record; the page's id and that of the response stand in fields of their own."""
     uri = _line(url or "")
     headers = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = headers if refers_to is not None else headers + payload
     fields = [
-        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id, uri)}",
+        f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id, uri)}",
         f"WARC-Date: {_DATE}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{digest(payload)}",
         f"X-Page-ID: {'' if page_id is None else page_id}",
     ]
     if refers_to is not None:
-        fields += [f"WARC-Profile: {_PROFILE}", f"X-Refers-To-Page-ID: {refers_to}"]
-    fields += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
-    return "\r\n".join(fields).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+        target = _line(refers_uri or "")
+        fields += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {record_id(refers_to, target)}", f"WARC-Refers-To-Target-URI: {target}",
+                   f"WARC-Refers-To-Date: {_DATE}", f"X-Refers-To-Page-ID: {refers_to}"]
+    return _framed([*fields, "Content-Type: application/http; msgtype=response"], block)
 
 
 def parse(data: bytes) -> tuple[dict[str, str], bytes, bytes]:
@@ -147,6 +162,7 @@ def read_archive(uri: str) -> Iterator[bytes]:
             raise ValueError(f"{uri} ends inside a record")
 
 
+_INFO = object()  # key of the record that has no row in the index
 _INDEX = "archive string, id bigint, offset bigint, length bigint"
 
 
@@ -159,41 +175,44 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
 
     for whole in batches:
         for batch in slices(whole):
-            writer = writer or Writer(f"{folder}/{name}")
             found = []
-            for page_id, payload, url, refers_to in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                found += writer.add(page_id, record(page_id, url, payload, refers_to))
-            yield rows(found)
+            if writer is None:
+                writer = Writer(f"{folder}/{name}")
+                found += writer.add(_INFO, info_record(name))
+            for page_id, payload, url, refers_to, refers_uri in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                found += writer.add(page_id, record(page_id, url, payload, refers_to, refers_uri))
+            yield rows([r for r in found if r[0] is not _INFO])
     if writer:
-        yield rows(list(writer.close()))
+        yield rows([r for r in writer.close() if r[0] is not _INFO])
 
 
-def revisits(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", minimum: int = 0) -> DataFrame:
-    """(id, digest, refers_to): for each digest of several payloads the rows that repeat its
-    smallest id's. Rows that repeat this id and payload are told apart by their number."""
+def revisits(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", minimum: int = 0, url_col: str = "url") -> DataFrame:
+    """(id, digest, refers_to, refers_uri): for each digest of several payloads the rows that
+    repeat its smallest id's, with that row's id and address. Rows that repeat this id and payload are told apart by their number."""
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     keyed = stage(pages.where(F.col(id_col).isNotNull()).where(F.octet_length(payload) >= minimum).select(
-        F.col(id_col).cast("bigint").alias("id"), F.unhex(F.sha1(payload)).alias("digest")), "warc-digests")
-    groups = stage(keyed.groupBy("digest").agg(F.min("id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "refers_to"), "warc-groups")
-    return keyed.join(groups, "digest").select("id", "digest", "refers_to")
+        F.col(id_col).cast("bigint").alias("id"), F.unhex(F.sha1(payload)).alias("digest"), F.col(url_col).alias("url")), "warc-digests")
+    groups = stage(keyed.groupBy("digest").agg(F.min(F.struct("id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "digest", F.col("first.id").alias("refers_to"), F.col("first.url").alias("refers_uri")), "warc-groups")
+    return keyed.join(groups, "digest").select("id", "digest", "refers_to", "refers_uri")
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url", minimum: int = 0) -> DataFrame:
     """Write all rows to archives in ``folder`` and return the index."""
-    again = stage(revisits(pages, id_col, payload_col, minimum), "warc-revisits")
+    again = stage(revisits(pages, id_col, payload_col, minimum, url_col), "warc-revisits")
     rows = pages.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"), F.col(url_col).alias("url"))
     # rows that repeat the first id of a group: one of them is the response
     repeated = again.where("id = refers_to").groupBy("id", "digest").count().where("count > 1")
-    others = again.where("id <> refers_to").select("id", "digest", "refers_to").distinct()
+    others = again.where("id <> refers_to").select("id", "digest", "refers_to", "refers_uri").distinct()
     if repeated.isEmpty() and others.groupBy("id").count().where("count > 1").isEmpty():
-        planned = rows.join(others.select("id", "refers_to"), "id", "left")
+        planned = rows.join(others.select("id", "refers_to", "refers_uri"), "id", "left")
     else:  # ids are not unique: the digest tells the rows of an id apart, a number the equal ones
         named = rows.withColumn("digest", F.unhex(F.sha1("payload")))
         number = F.row_number().over(Window.partitionBy("id", "digest").orderBy("url"))
-        first = again.select("id", "digest", "refers_to").distinct()
+        first = again.select("id", "digest", "refers_to", "refers_uri").distinct()
         planned = named.withColumn("number", number).join(first, ["id", "digest"], "left").withColumn(
             "refers_to", F.when((F.col("id") != F.col("refers_to")) | (F.col("number") > 1), F.col("refers_to")))
-    index = planned.select("id", "payload", "url", "refers_to").mapInArrow(partial(_write, folder=folder), _INDEX)
+    index = planned.select("id", "payload", "url", "refers_to", "refers_uri").mapInArrow(partial(_write, folder=folder), _INDEX)
     index.write.mode("overwrite").parquet(f"{folder}/index")
     return pages.sparkSession.read.schema(_INDEX).parquet(f"{folder}/index")
 
@@ -208,6 +227,8 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
                 out, size = [], 0
                 for data in read_archive(f"{folder}/{name}"):
                     fields, http, payload = parse(data)
+                    if fields["WARC-Type"] == "warcinfo":
+                        continue
                     kind, told = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
                     length = int(http.rpartition(b"Content-Length: ")[2])
                     if kind == "response" and (digest(payload) != told or len(payload) != length):

@@ -383,3 +383,19 @@ def test_archive_is_a_dictionary_and_frames(spark, tmp_path):
         assert engine.decompress(raw[at : at + length], max_output_size=len(data[i])) == data[i]
     alone = sum(len(zstandard.ZstdCompressor(3).compress(d)) for d in data)
     assert sum(n for _, _, n in index) < 0.8 * alone
+
+
+def test_revisits_name_the_record_of_their_response(spark, tmp_path):
+    pages = [(1, "http://a/1", "same"), (2, "http://a/2", "same"), (3, None, "other"), (4, "http://a/4", "other"), (5, "http://a/5", "own")]
+    index = warc.write_archives(spark.createDataFrame(pages, "page_id bigint, url string, html string").coalesce(1), str(tmp_path))
+    names = {r["archive"] for r in index.collect()}
+    told = [warc.parse(data)[0] for name in names for data in warc.read_archive(f"{tmp_path}/{name}")]
+    assert sum(f["WARC-Type"] == "warcinfo" for f in told) == len(names) and len(told) == 5 + len(names)
+    by_id = {f["WARC-Record-ID"]: f for f in told}
+    again = {f["X-Page-ID"]: by_id[f["WARC-Refers-To"]] for f in told if f["WARC-Type"] == "revisit"}
+    assert {k: v["X-Page-ID"] for k, v in again.items()} == {"2": "1", "4": "3"}
+    for f in told:
+        if f["WARC-Type"] == "revisit":
+            target = by_id[f["WARC-Refers-To"]]
+            assert (f["WARC-Refers-To-Target-URI"], f["WARC-Payload-Digest"]) == (target["WARC-Target-URI"], target["WARC-Payload-Digest"])
+        assert f["WARC-Block-Digest"].startswith("sha1:")
