@@ -38,7 +38,7 @@ READ_BYTES = 4 << 20
 _MASK_DELTA = 0xA282EAD8  # fixed value of the format
 _POLYNOMIAL = 0x82F63B78  # CRC-32C, reflected
 _BLOCK = 256
-_CACHE_WORDS = 250_000
+_CACHE_WORDS = 400_000
 _JOINED = 1_000
 # The cut into words that the shortcut of the encoder holds for (a fixed value of the file).
 _WORD_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
