@@ -6,10 +6,14 @@ best row of a cluster stays. The result equals comparing every pair, but pairs a
 only formed where needed:
 
 1. Exact duplicates are folded first, so a group of identical copies is one node.
-2. Shingles are counted over all texts, and rare ones come first in a common order. Two
+2. Shingles of a band of the hash space are counted over all texts. They come first in a
+   common order, rare ones before frequent ones, the others follow by hash. Two
    similar sets share a shingle in their prefixes (prefix filter). A shingle of one set only
    takes a place in its prefix but is never looked up, so texts of their own that share
-   boilerplate have prefixes without partners. Only shingles of several sets are kept.
+   boilerplate have prefixes without partners. The band is wider than a prefix, so the others
+   are needed only where a set has few shingles in the band; any order gives the same result.
+   Whole sets take several times the room of the texts. They are made from the texts again
+   where a pair needs them, and never kept.
 3. Rows that share a prefix shingle form a bucket. A small bucket is compared pairwise,
    so the pairs are at most a fixed multiple of the rows; pairs whose sizes or places in
    the order leave too little room for the rest of the overlap go before any sets move.
@@ -38,6 +42,10 @@ BUCKET_ROWS = 32
 _PIVOTS = 4
 # Shingles that a bucket can have in common before it is worked off by pivots alone.
 _DEPTH = 6
+# The band, as a multiple of the share of a set that is its prefix. Up to so many rows it has
+# all shingles.
+_BAND, _WHOLE_ROWS = 1.6, 20_000
+_ID_ROWS = 1_000_000  # ids of texts that are broadcast, so that the texts stay where they are
 _SET_ROWS = 500  # sets are wide (up to one shingle per word), so few are broadcast
 _COLD_PAIRS = 1_000_000  # with fewer pairs no key can be hot enough to matter
 _EPS = 1e-9
@@ -74,29 +82,46 @@ def drop_exact_duplicates(df: DataFrame, text: Column, score: Column) -> DataFra
     return lookup_join(df, copies, ["id"], "left_anti")
 
 
-def shingle_sets(df: DataFrame, text: Column) -> DataFrame:
+def shingle_sets(df: DataFrame, text: Column, every: bool = False) -> DataFrame:
     """(id, shingles, size): distinct 64-bit hashes of the word 3-shingles of the whole
-    text. Texts with fewer than three words have no row."""
+    text. Texts with fewer than three words have no row; with ``every`` it is known that there
+    are none, and no filter is moved in front of a join that finds the texts."""
     tokens = df.select("id", F.split(normalized(text), " ").alias("w"))
     w = F.col("w")
     grams = F.transform(
         F.sequence(F.lit(0), F.size(w) - SHINGLE_WORDS),
         lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)),
     )
-    sets = tokens.where(F.size(w) >= SHINGLE_WORDS).select("id", F.array_distinct(grams).alias("shingles"))
-    return sets.withColumn("size", F.size("shingles"))
+    long_ones = tokens if every else tokens.where(F.size(w) >= SHINGLE_WORDS)
+    return long_ones.select("id", F.array_distinct(grams).alias("shingles")).withColumn("size", F.size("shingles"))
 
 
-def ordered_shingles(sets: DataFrame) -> DataFrame:
-    """(id, size, shingle, place) of the shingles that several sets have, as a staged table. The
-    places of a set go from 1, rare shingles first; those of its own shingles come before
-    and have no row."""
-    every = sets.select("id", "size", F.explode("shingles").alias("shingle"))
+def band_share(threshold: float, rows: int) -> float:
+    """Share of the hash space whose shingles are counted."""
+    return 1.0 if rows <= _WHOLE_ROWS else min(1.0, _BAND * (1 - threshold))
+
+
+def ordered_shingles(sets: DataFrame, threshold: float, share: float = 1.0) -> DataFrame:
+    """(id, size, shingle, place) of the shingles that the prefixes of up to ``_DEPTH`` more places
+    have and that other sets can have too, as a staged table. The places of a set go from 1:
+    shingles in the band by their number of sets, then the others by hash. Those of the band that
+    no other set has come first and have no row."""
+    in_band = lambda h: F.shiftrightunsigned(h, 40) < int(share * 2**24)
+    reach = F.col("size") - _least_overlap(F.col("size"), threshold) + _DEPTH + 1
+    every = sets.select("id", F.explode(F.filter("shingles", in_band)).alias("shingle"))
     counts = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = lookup_join(every, counts, ["shingle"], "inner")
-    in_set = Window.partitionBy("id")
-    place = F.col("size") - F.count(F.lit(1)).over(in_set) + F.row_number().over(in_set.orderBy("n", "shingle"))
-    return stage(shared.select("id", "size", "shingle", place.cast("int").alias("place")), "ordered-shingles")
+    shared = lookup_join(every, counts, ["shingle"], "inner", counted="n")
+    shared = shared.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("n", "shingle"))).alias("shared"))
+    banded = sets.select("id", "size", F.size(F.filter("shingles", in_band)).alias("band"), "shingles")
+    rest = F.slice(F.sort_array(F.filter("shingles", lambda h: ~in_band(h))), F.lit(1), F.greatest(reach - F.col("band"), F.lit(0)))
+    heads = banded.select("id", F.struct("size", "band", rest.alias("rest")).alias("head")).groupBy("id").agg(F.max("head").alias("head"))
+    lines = heads.join(shared, "id", "left").select("id", "head.*", F.coalesce(F.col("shared.shingle"), F.array().cast("array<bigint>")).alias("shared"))
+    own = F.col("band") - F.size("shared")
+    placed = F.concat(
+        F.transform("shared", lambda h, i: F.struct(h.alias("shingle"), (own + i + 1).alias("place"))),
+        F.transform("rest", lambda h, i: F.struct(h.alias("shingle"), (F.col("band") + i + 1).alias("place"))),
+    )
+    return stage(lines.select("id", "size", F.inline(placed)).where(F.col("place") <= reach), "ordered-shingles")
 
 
 def _least_overlap(size: Column, threshold: float) -> Column:
@@ -120,22 +145,22 @@ def _deeper(left: DataFrame, ordered: DataFrame, depth: int, threshold: float) -
         F.xxhash64("token", "shingle").alias("token"), "id", "size", F.col("next").alias("place")).unionByName(again)
 
 
-def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Add the Jaccard similarity ``jaccard`` to distinct pairs (a, b); ``sets`` hold the
-    shingles that others have too, and the size of the whole set. A pivot can be the b
+def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Add the Jaccard similarity ``jaccard`` to distinct pairs (a, b) of the ``texts`` (id,
+    text). Only texts that some pair needs are turned into sets and moved. A pivot can be the b
     side of very many pairs, so large pair tables take the join that treats hot keys
     apart."""
     pairs, n = stage_counted(pairs, "pairs")
-    if n <= BROADCAST_ROWS:  # shuffle only the sets that some pair needs
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-        sets = sets.join(F.broadcast(needed), "id", "left_semi")
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"), F.col("size").alias("na"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"), F.col("size").alias("nb"))
-    both = pairs.join(left, "a")
+
+    def needed(side: str) -> DataFrame:
+        ids = pairs.select(F.col(side).alias("id")).distinct()
+        found = shingle_sets(lookup_join(texts, ids, ["id"], "left_semi", max_rows=_ID_ROWS, bound=n), F.col("text"), every=True)
+        return found.select(F.col("id").alias(side), F.col("shingles").alias(f"s{side}"), F.col("size").alias(f"n{side}"))
+
+    both, right = pairs.join(needed("a"), "a"), needed("b")
     if n <= _COLD_PAIRS:
         both = both.join(right, "b")
     else:
-        right = right.join(pairs.select("b").distinct(), "b", "left_semi")
         both = lookup_join(both, right, ["b"], "inner", max_rows=_SET_ROWS, hot_share=_SET_ROWS)
     common = F.size(F.array_intersect("sa", "sb"))
     return both.withColumn("jaccard", common / (F.col("na") + F.col("nb") - common)).drop("sa", "sb", "na", "nb")
@@ -159,19 +184,17 @@ def _bucket_pairs(postings: DataFrame, threshold: float) -> DataFrame:
 def _with_bucket_size(postings: DataFrame) -> tuple[DataFrame, int]:
     """Buckets of two and more rows with their size and smallest id, and the number of
     rows in buckets, as a staged table."""
-    postings = stage(postings, "bucket-rows")
     buckets = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
-    return stage_counted(lookup_join(postings, buckets, ["token"], "inner"), "postings")
+    return stage_counted(lookup_join(postings, buckets, ["token"], "inner", counted="n"), "postings")
 
 
 def similar_edges(
-    sets: DataFrame, threshold: float = SIMILARITY_THRESHOLD, bucket_rows: int = BUCKET_ROWS
+    texts: DataFrame, threshold: float = SIMILARITY_THRESHOLD, bucket_rows: int = BUCKET_ROWS, share: float = 1.0
 ) -> tuple[DataFrame, int]:
-    """Edges (a, b) of true pairs whose components are those of all true pairs, as a
-    staged table, and their number."""
+    """Edges (a, b) of true pairs of ``texts`` (id, text) whose components are those of all true
+    pairs, as a staged table, and their number."""
     limit = 1.0 - threshold
-    ordered = ordered_shingles(sets)
-    sets = stage(ordered.groupBy("id").agg(F.collect_list("shingle").alias("shingles"), F.max("size").alias("size")), "shared-shingles")
+    ordered = ordered_shingles(shingle_sets(texts, F.col("text")), threshold, share)
     active, rows = _with_bucket_size(prefix_postings(ordered, threshold))
     depth, rounds, edges, small = 1, 0, [], []
 
@@ -193,7 +216,7 @@ def similar_edges(
         )
         # sizes too different for a distance of twice the limit: too far to matter
         met = met.where(_sized_alike(F.col("na"), F.col("nb"), 1.0 - 2 * limit))
-        known, pairs = stage_counted(similarities(met.select("a", "b").distinct(), sets), "pivot-similarity")
+        known, pairs = stage_counted(similarities(met.select("a", "b").distinct(), texts), "pivot-similarity")
         edges.append(known.where(F.col("jaccard") >= threshold - _EPS).select("a", "b"))
         distance = met.select("token", "a", "b").join(known, ["a", "b"]).withColumn("d", 1.0 - F.col("jaccard"))
         ring = distance.where((F.col("d") > limit + _EPS) & (F.col("d") <= 2 * limit + _EPS)).groupBy("token", "b").agg(
@@ -210,14 +233,14 @@ def similar_edges(
         if rounds % 2 and depth < _DEPTH:
             left = _deeper(stage(left, "unsettled"), ordered, depth, threshold)
             depth += 1
-        active, rows = _with_bucket_size(left)
+        active, rows = _with_bucket_size(stage(left, "bucket-rows"))
         small.append(small_ones(active))
         active = active.where(F.col("n") > bucket_rows)
         rounds += 1
     postings = small[0]
     for more in small[1:]:
         postings = postings.unionByName(more)
-    pairs = similarities(_bucket_pairs(postings, threshold), sets)
+    pairs = similarities(_bucket_pairs(postings, threshold), texts)
     found = pairs.where(F.col("jaccard") >= threshold - _EPS).select("a", "b")
     for e in edges:
         found = found.unionByName(e)
@@ -266,16 +289,18 @@ def duplicate_clusters(
 ) -> DataFrame:
     """(id, cluster, keeper) for every row that has an exact or near duplicate; the
     cluster is named by the smallest id among its distinct texts' keepers."""
-    df = spread(df, "id")
-    narrow, n = stage_counted(
-        df.select("id", text_key(text).alias("text_key"), score.cast("double").alias("score")), "text-keys"
-    )
+    df = df.select("id", text.alias("text"), score.cast("double").alias("score"))
+    dealt = spread(df, "id")
+    df = df if dealt is df else stage(dealt, "texts")  # the texts are read several times
+    narrow, n = stage_counted(df.select("id", text_key(F.col("text")).alias("text_key"), "score"), "text-keys")
     keepers = stage(_keepers(narrow), "exact-keepers")
     # leave out the extra copies; the whole texts are shuffled only if those are many
     copies = lookup_join(narrow, keepers.where("copies > 1"), ["text_key"], "inner").where("id <> keeper").select("id")
-    unique = lookup_join(df.select("id", text.alias("text")), copies, ["id"], "left_anti")
-    sets = stage(shingle_sets(unique, F.col("text")), "shingles")
-    edges, found = similar_edges(sets, threshold, bucket_rows)
+    copies, extra = stage_counted(copies, "copies")
+    unique = lookup_join(df.select("id", "text"), copies, ["id"], "left_anti", max_rows=_ID_ROWS, bound=extra)
+    if extra > _ID_ROWS:
+        unique = stage(unique, "unique-texts")
+    edges, found = similar_edges(unique, threshold, bucket_rows, band_share(threshold, n))
     component = connected_components(edges, found)
     tagged = lookup_join(narrow, keepers, ["text_key"], "inner", bound=n)
     tagged = lookup_join(tagged, component.withColumnRenamed("id", "keeper"), ["keeper"], "left", bound=2 * found)

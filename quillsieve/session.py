@@ -88,6 +88,7 @@ def lookup_join(
     max_rows: int = BROADCAST_ROWS,
     bound: int | None = None,
     hot_share: int = HOT_SHARE,
+    counted: str | None = None,
 ) -> DataFrame:
     """Join a (usually large) frame to a lookup table with one or few rows per key.
 
@@ -98,7 +99,9 @@ def lookup_join(
     A larger lookup is joined by a shuffle, except for hot keys. Those are the keys with
     more than ``1/hot_share`` of the rows of ``df``, at most ``hot_share`` of them, so
     their lookup rows are few and are broadcast; a key that holds a third of the rows
-    never meets in one task. Inner, left, left_semi and left_anti joins only.
+    never meets in one task. ``counted`` is a column of the lookup that holds the number of
+    rows of ``df`` with its key, which need not be counted again then. Inner, left, left_semi
+    and left_anti joins only.
     """
     if bound is not None and bound <= max_rows:
         return df.join(F.broadcast(lookup), on, how)
@@ -108,10 +111,15 @@ def lookup_join(
     # rows without a key match nothing and need not meet in one task
     without = " OR ".join(f"`{k}` IS NULL" for k in on)
     keyed, loose = df.where(f"NOT ({without})"), df.where(without)
-    total = Observation()
-    counts = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).observe(total, F.sum("__n").alias("rows"))
-    most = counts.orderBy(F.col("__n").desc()).limit(hot_share).collect()
-    limit = (total.get["rows"] or 0) / hot_share
+    if counted:
+        counts, total = lookup.select(*on, F.col(counted).alias("__n")), lookup.agg(F.sum(counted)).first()[0]
+        most = counts.orderBy(F.col("__n").desc()).limit(hot_share).collect()
+    else:
+        seen = Observation()
+        counts = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).observe(seen, F.sum("__n").alias("rows"))
+        most = counts.orderBy(F.col("__n").desc()).limit(hot_share).collect()
+        total = seen.get["rows"]
+    limit = (total or 0) / hot_share
     hot_keys = [r[:-1] for r in map(tuple, most) if r[-1] > limit]
     if hot_keys:
         hot = F.broadcast(df.sparkSession.createDataFrame(hot_keys, df.select(*on).schema))
@@ -126,9 +134,11 @@ def lookup_join(
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a small input by hash of the keys, as it may be one file with one row
-    group. An input that the optimizer takes for large is returned as it is: it has
-    partitions enough. No job is started to find out."""
+    group. An input of a file and more for each core, or one that the optimizer takes for large,
+    is returned as it is: it has partitions enough. No job is started to find out."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return df if int(size) >= cores * LARGE_BYTES else df.repartition(cores, *keys)
