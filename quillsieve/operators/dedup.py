@@ -13,7 +13,7 @@ only formed where needed:
    boilerplate have prefixes without partners. The band is wider than a prefix, so the others
    are needed only where a set has few shingles in the band; any order gives the same result.
    Whole sets take several times the room of the texts. They are made from the texts again
-   where a pair needs them, and never kept.
+   for those rows that are in a candidate pair.
 3. Rows that share a prefix shingle form a bucket. A small bucket is compared pairwise,
    so the pairs are at most a fixed multiple of the rows; pairs whose sizes or places in
    the order leave too little room for the rest of the overlap go before any sets move.
@@ -108,13 +108,15 @@ def ordered_shingles(sets: DataFrame, threshold: float, share: float = 1.0) -> D
     no other set has come first and have no row."""
     in_band = lambda h: F.shiftrightunsigned(h, 40) < int(share * 2**24)
     reach = F.col("size") - _least_overlap(F.col("size"), threshold) + _DEPTH + 1
-    every = sets.select("id", F.explode(F.filter("shingles", in_band)).alias("shingle"))
+    parts = sets.select("id", "size", F.filter("shingles", in_band).alias("inside"), "shingles")
+    parts = parts.withColumn("band", F.size("inside"))
+    rest = F.slice(F.sort_array(F.array_except("shingles", "inside")), F.lit(1), F.greatest(reach - F.col("band"), F.lit(0)))
+    heads = stage(parts.select("id", "size", "band", "inside", rest.alias("rest")), "bands")
+    every = heads.select("id", F.explode("inside").alias("shingle"))
     counts = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = lookup_join(every, counts, ["shingle"], "inner", counted="n")
     shared = shared.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("n", "shingle"))).alias("shared"))
-    banded = sets.select("id", "size", F.size(F.filter("shingles", in_band)).alias("band"), "shingles")
-    rest = F.slice(F.sort_array(F.filter("shingles", lambda h: ~in_band(h))), F.lit(1), F.greatest(reach - F.col("band"), F.lit(0)))
-    heads = banded.select("id", F.struct("size", "band", rest.alias("rest")).alias("head")).groupBy("id").agg(F.max("head").alias("head"))
+    heads = heads.groupBy("id").agg(F.max(F.struct("size", "band", "rest")).alias("head"))
     lines = heads.join(shared, "id", "left").select("id", "head.*", F.coalesce(F.col("shared.shingle"), F.array().cast("array<bigint>")).alias("shared"))
     own = F.col("band") - F.size("shared")
     placed = F.concat(
@@ -152,12 +154,12 @@ def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     apart."""
     pairs, n = stage_counted(pairs, "pairs")
 
-    def needed(side: str) -> DataFrame:
-        ids = pairs.select(F.col(side).alias("id")).distinct()
-        found = shingle_sets(lookup_join(texts, ids, ["id"], "left_semi", max_rows=_ID_ROWS, bound=n), F.col("text"), every=True)
-        return found.select(F.col("id").alias(side), F.col("shingles").alias(f"s{side}"), F.col("size").alias(f"n{side}"))
-
-    both, right = pairs.join(needed("a"), "a"), needed("b")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    found = lookup_join(texts, ids, ["id"], "left_semi", max_rows=_ID_ROWS, bound=2 * n)
+    # staged, because filters on the similarity would be moved in front of the sets
+    sets = stage(shingle_sets(found, F.col("text"), every=True), "pair-sets")
+    left, right = (sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}"), F.col("size").alias(f"n{x}")) for x in "ab")
+    both = pairs.join(left, "a")
     if n <= _COLD_PAIRS:
         both = both.join(right, "b")
     else:

@@ -352,3 +352,19 @@ def test_short_rows_of_frequent_shingles(spark, bucket_rows):
     for r in rows:
         groups.setdefault(r["cluster"], []).append(int(r["id"]))
     assert sorted(sorted(g) for g in groups.values()) == _brute(texts, 0.7)
+
+
+def test_near_duplicates_with_a_band_of_the_shingles(spark, monkeypatch):
+    """Counting only a band of the shingles, and no whole sets kept but those of candidate pairs."""
+    staged, stage = {}, dedup.stage
+    monkeypatch.setattr(dedup, "_WHOLE_ROWS", 0)
+    monkeypatch.setattr(dedup, "stage", lambda df, label: staged.setdefault(label, stage(df, label)))
+    texts = _variants()
+    texts += [" ".join(f"own{i}w{j}" for j in range(60)) for i in range(40)]
+    df = spark.createDataFrame([(f"{i:04d}", t, 1.0) for i, t in enumerate(texts)], "id string, text string, score double")
+    groups = {}
+    for r in dedup.duplicate_clusters(df, F.col("text"), F.col("score"), 0.85, 1000).collect():
+        groups.setdefault(r["cluster"], []).append(int(r["id"]))
+    assert sorted(sorted(g) for g in groups.values()) == _brute(texts, 0.85)
+    assert "shingles" not in staged
+    assert staged["pair-sets"].where(f"id >= '{len(texts) - 40:04d}'").count() == 0
