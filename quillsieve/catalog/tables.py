@@ -64,7 +64,7 @@ def _(spark, sf):
     flat = document_samples(spark, sf).select(
         "id", "instruction", F.to_json("response").alias("response"), F.col("metadata.domain").alias("domain"), F.col("metadata.difficulty").alias("difficulty"),
     )
-    flat.write.option("header", "true").option("quote", '"').option("escape", '"').option("quoteAll", "true").csv(path)
+    writers.write_flat(flat, path)
     return _shown(nest_flat(readers.read_csv(spark, path, multiline=True)))
 
 
@@ -74,8 +74,7 @@ def _(spark, sf):
     flat = conversation_samples(spark, sf).select(
         "id", "instruction", F.to_json("response").alias("response"), F.col("metadata.domain").alias("domain"), F.col("metadata.difficulty").alias("difficulty"),
     )
-    writer = flat.withColumn("part", F.col("domain")).write.partitionBy("part").option("header", "true").option("sep", "\t")
-    writer.option("quote", '"').option("escape", '"').option("quoteAll", "true").csv(path)
+    writers.write_flat(flat.withColumn("part", F.col("domain")), path, "\t", "part")
     return _shown(nest_flat(readers.read_csv(spark, path, fmt="tsv", pattern="*.csv", multiline=True)))
 
 

@@ -103,7 +103,7 @@ def read_csv(
     """Flat rows of CSV or TSV files with a header. Without a schema the columns are
     named by the header and read as strings (typed later with ``try_cast``), which
     needs no inference pass over the data. Files are split; where quoted fields span lines,
-    pass ``multiline=True``, which keeps a file in one task."""
+    pass ``multiline=True``, which keeps a file in one task (``writers.write_flat`` bounds its rows)."""
     reader = _finder(spark, pattern or pattern_for(fmt)).option("header", "true").option("sep", "\t" if fmt == "tsv" else ",")
     reader = reader.option("quote", '"').option("escape", '"').option("multiLine", str(multiline).lower())
     return reader.schema(schema).csv(path) if schema else reader.csv(path)

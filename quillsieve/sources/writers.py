@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 BUCKETS = 64
 
 
+# Rows of a CSV or TSV file. A file whose quoted fields span lines is read by one task.
+FILE_ROWS = 5_000
+
+
+def write_flat(df: DataFrame, path: str, sep: str = ",", part: str | None = None, file_rows: int = FILE_ROWS) -> None:
+    """Flat rows as CSV (or TSV) files with a header and all fields quoted, of at most
+    ``file_rows`` rows each, below a folder for each value of ``part`` if it is named."""
+    writer = df.write.partitionBy(part) if part else df.write
+    writer = writer.option("header", "true").option("sep", sep).option("maxRecordsPerFile", file_rows)
+    writer.option("quote", '"').option("escape", '"').option("quoteAll", "true").csv(path)
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     """One JSON object per line, replacing what is there; parent folders are made."""
     df.write.mode("overwrite").option("ignoreNullFields", "true").json(path)

@@ -151,3 +151,13 @@ def test_merged_runs_equal_one_scan(spark, tmp_path):
     same(rollups.merged_final_statistics(partials), stats.final_statistics(rows))
     estimate = {r["kind"]: r["count"] for r in rollups.merged_index_statistics(partials, exact=False).collect() if r["key"] is None}
     assert abs(estimate["distinct_ids"] - 700) < 40 and estimate["total"] == 900
+
+
+def test_flat_files_are_bounded(spark, tmp_path):
+    from quillsieve.sources import readers, writers
+
+    rows = [(str(i), f'line {i}\n"two"') for i in range(12)]
+    path = str(tmp_path / "flat")
+    writers.write_flat(spark.createDataFrame(rows, "id string, text string").coalesce(1), path, file_rows=5)
+    assert readers.list_files(spark, path, "*.csv").count() == 3
+    assert sorted(map(tuple, readers.read_csv(spark, path, multiline=True).collect())) == sorted(rows)
