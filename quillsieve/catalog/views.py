@@ -11,7 +11,7 @@ from quillsieve.functions.text import distinct_word_ratio
 from quillsieve.operators.gates import metric
 from quillsieve.operators.normalize import response_from_text
 from quillsieve.operators.scoring import aggregate_scores, score, text_scorers
-from quillsieve.session import spread
+from quillsieve.session import lookup_join, spread
 
 RUN_TIME = "2024-05-01T12:30:15Z"
 
@@ -98,7 +98,7 @@ def scored_documents(spark: SparkSession, sf: str) -> DataFrame:
         "rationale_quality": lambda: distinct_word_ratio(F.col("response.rationale")),
         "answer_accuracy": lambda: F.when(english, 0.5 + 0.5 * uniform(F.lit("0"), F.col("id"), F.lit("answer_accuracy"))),
     }
-    return score(document_samples(spark, sf).join(labels, "id", "left"), scorers).drop("__quality", "__safe")
+    return score(lookup_join(document_samples(spark, sf), labels, ["id"]), scorers).drop("__quality", "__safe")
 
 
 def assessed_documents(spark: SparkSession, sf: str) -> DataFrame:

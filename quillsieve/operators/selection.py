@@ -251,24 +251,24 @@ def multi_dimension_filter(
     default the instruction and the response. ``min_domain_samples`` and
     ``domain_balance`` select within :func:`cell_quotas`.
 
-    Only id, features, score, band and domain of the passing rows are staged and ranked; the
-    wide rows are read again at the end and joined with the selected ids, of which
-    there are at most ``target``. Rows need an id. Adds ``selection_score`` and
+    Only id, features, score, band and domain of the passing rows are staged and ranked, and their
+    text if near duplicates go; the wide rows are read again at the end and joined with the
+    selected ids, of which there are at most ``target``. Rows need an id. Adds ``selection_score`` and
     ``diversity_score``.
     """
     features = sample_features()
     gated = filter_by_quality(df, quality_threshold, **(gate or {}))
-    narrow = stage(
-        gated.select(
-            "id", *[c.alias(f"f_{n}") for n, c in features.items()], metric("overall_score", 0.0).alias("overall"),
-            difficulty_band(metric("instruction_complexity", 0.5)).alias("band"), F.coalesce("metadata.domain", F.lit("unknown")).alias("domain"),
-        ),
-        "gated",
-    )
-    if similarity_threshold is not None:
+    columns = [
+        "id", *[c.alias(f"f_{n}") for n, c in features.items()], metric("overall_score", 0.0).alias("overall"),
+        difficulty_band(metric("instruction_complexity", 0.5)).alias("band"), F.coalesce("metadata.domain", F.lit("unknown")).alias("domain"),
+    ]
+    if similarity_threshold is None:
+        narrow = stage(gated.select(*columns), "gated")
+    else:
         text = F.concat_ws("\n", "instruction", "response.origin_text") if text is None else text
-        clusters = duplicate_clusters(
-            gated.select("id", text.alias("text"), F.round(metric("overall_score", 0.0), 9).alias("overall")), F.col("text"), F.col("overall"), similarity_threshold)
+        passed = stage(gated.select(*columns, text.alias("text")), "gated")  # scored once, read several times
+        narrow = passed.drop("text")
+        clusters = duplicate_clusters(passed, F.col("text"), F.round("overall", 9), similarity_threshold)
         narrow = stage(lookup_join(narrow, clusters.where(F.col("id") != F.col("keeper")).select("id"), ["id"], "left_anti"), "unlike")
     diverse = diversity_scores(narrow, {n: F.col(f"f_{n}") for n in features}, weights)
     score = F.col("overall") * (1 - diversity_weight) + F.col("diversity_score") * diversity_weight
