@@ -6,16 +6,16 @@ best row of a cluster stays. The result equals comparing every pair, but pairs a
 only formed where needed:
 
 1. Exact duplicates are folded first, so a group of identical copies is one node.
-2. Shingles of a band of the hash space are counted over all texts. They come first in a
-   common order, rare ones before frequent ones, the others follow by hash. Two
-   similar sets share a shingle in their prefixes (prefix filter). A shingle of one set only
-   takes a place in its prefix but is never looked up, so texts of their own that share
-   boilerplate have prefixes without partners. The band is wider than a prefix, so the others
-   are needed only where a set has few shingles in the band; any order gives the same result.
-   Whole sets take several times the room of the texts. They are made from the texts again
-   for those rows that are in a candidate pair.
-3. Rows that share a prefix shingle form a bucket. A small bucket is compared pairwise,
-   so the pairs are at most a fixed multiple of the rows; pairs whose sizes or places in
+2. A text with so many shingles of its own that the rest is no sufficient overlap is similar to
+   none. Shingles of a band of the hash space are counted over all texts, and texts that
+   have enough of their own in the band go. Most texts of a corpus do, so whole sets, which take
+   several times the room of the texts, are made and kept for the others only.
+   Their shingles are counted again, among themselves, and put in a common order, rare
+   ones before frequent ones. Two similar sets share a shingle in their prefixes
+   (prefix filter). A shingle of one set only takes a place in its prefix but is never
+   looked up, so texts of their own that share boilerplate have prefixes without partners.
+3. Rows that share a prefix shingle form a bucket. Buckets are compared pairwise from the
+   smallest on, as long as the pairs are at most a fixed multiple of the rows; pairs whose sizes or places in
    the order leave too little room for the rest of the overlap go before any sets move.
 4. A large bucket, such as many near copies of one text, is compared with a few
    pivots instead. Jaccard distance is a metric: a row within the limit of a pivot
@@ -24,7 +24,8 @@ only formed where needed:
    edge. Only edges that the components do not need are left out.
 5. What pivots do not settle, such as unlike texts with a frequent shingle in common, is
    dealt out again by a further shingle: two similar sets also share a second one in
-   prefixes that are longer by one, a third one, and so on. Buckets get smaller at each step.
+   prefixes that are longer by one, a third one, and so on. Where that does not make fewer pairs, as
+   among many near copies at all distances, the buckets stay and are allowed more pairs.
 """
 
 from __future__ import annotations
@@ -40,10 +41,11 @@ from quillsieve.session import BROADCAST_ROWS, lookup_join, spread, stage, stage
 SHINGLE_WORDS = 3
 BUCKET_ROWS = 32
 _PIVOTS = 4
+_PAIRED_ROWS = 2048  # largest bucket that is compared pairwise, as one task does it
 # Shingles that a bucket can have in common before it is worked off by pivots alone.
 _DEPTH = 6
-# The band, as a multiple of the share of a set that is its prefix. Up to so many rows it has
-# all shingles.
+# The band, as a multiple of the share of a set that is its prefix. Up to so many rows all whole
+# sets are kept.
 _BAND, _WHOLE_ROWS = 1.6, 20_000
 _ID_ROWS = 1_000_000  # ids of texts that are broadcast, so that the texts stay where they are
 _SET_ROWS = 500  # sets are wide (up to one shingle per word), so few are broadcast
@@ -82,47 +84,50 @@ def drop_exact_duplicates(df: DataFrame, text: Column, score: Column) -> DataFra
     return lookup_join(df, copies, ["id"], "left_anti")
 
 
-def shingle_sets(df: DataFrame, text: Column, every: bool = False) -> DataFrame:
+def shingle_sets(df: DataFrame, text: Column) -> DataFrame:
     """(id, shingles, size): distinct 64-bit hashes of the word 3-shingles of the whole
-    text. Texts with fewer than three words have no row; with ``every`` it is known that there
-    are none, and no filter is moved in front of a join that finds the texts."""
+    text. Texts with fewer than three words have no row."""
     tokens = df.select("id", F.split(normalized(text), " ").alias("w"))
     w = F.col("w")
     grams = F.transform(
         F.sequence(F.lit(0), F.size(w) - SHINGLE_WORDS),
         lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)),
     )
-    long_ones = tokens if every else tokens.where(F.size(w) >= SHINGLE_WORDS)
+    long_ones = tokens.where(F.size(w) >= SHINGLE_WORDS)
     return long_ones.select("id", F.array_distinct(grams).alias("shingles")).withColumn("size", F.size("shingles"))
 
 
 def band_share(threshold: float, rows: int) -> float:
-    """Share of the hash space whose shingles are counted."""
+    """Share of the hash space whose shingles are counted over all texts; 1 if that spares nothing."""
     return 1.0 if rows <= _WHOLE_ROWS else min(1.0, _BAND * (1 - threshold))
 
 
-def ordered_shingles(sets: DataFrame, threshold: float, share: float = 1.0) -> DataFrame:
+def texts_with_company(texts: DataFrame, threshold: float, share: float) -> DataFrame:
+    """The ``texts`` (id, text) without those that are similar to no other, as far as a band of the
+    hash space shows it: a set with as many shingles of its own as its prefix has places shares too
+    few with any other. Rows are told apart by a hash of id and text, as ids may repeat."""
+    row = F.xxhash64("id", "text")
+    sets = shingle_sets(texts.select(row.alias("id"), "text"), F.col("text"))
+    # outer, because a filter on the size of what is exploded would be moved in front of the sets
+    shingles = sets.select("id", _prefix(F.col("size"), threshold).alias("needed"), F.explode_outer("shingles").alias("shingle"))
+    band = shingles.where(F.shiftrightunsigned("shingle", 40) < int(share * 2**24))
+    own = band.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("row"), F.min("needed").alias("needed")).where("n = 1")
+    alone = own.groupBy("row").agg(F.count(F.lit(1)).alias("own"), F.min("needed").alias("needed")).where("own >= needed").select("row")
+    return lookup_join(texts.withColumn("row", row), alone, ["row"], "left_anti", max_rows=_ID_ROWS).drop("row")
+
+
+def ordered_shingles(sets: DataFrame, threshold: float) -> DataFrame:
     """(id, size, shingle, place) of the shingles that the prefixes of up to ``_DEPTH`` more places
-    have and that other sets can have too, as a staged table. The places of a set go from 1:
-    shingles in the band by their number of sets, then the others by hash. Those of the band that
-    no other set has come first and have no row."""
-    in_band = lambda h: F.shiftrightunsigned(h, 40) < int(share * 2**24)
-    reach = F.col("size") - _least_overlap(F.col("size"), threshold) + _DEPTH + 1
-    parts = sets.select("id", "size", F.filter("shingles", in_band).alias("inside"), "shingles")
-    parts = parts.withColumn("band", F.size("inside"))
-    rest = F.slice(F.sort_array(F.array_except("shingles", "inside")), F.lit(1), F.greatest(reach - F.col("band"), F.lit(0)))
-    heads = stage(parts.select("id", "size", "band", "inside", rest.alias("rest")), "bands")
-    every = heads.select("id", F.explode("inside").alias("shingle"))
+    have and that other sets have too, as a staged table. The places of a set go from 1, by the
+    number of sets with the shingle. Those that no other set has come first and have no row."""
+    every = sets.select("id", F.explode("shingles").alias("shingle"))
     counts = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = lookup_join(every, counts, ["shingle"], "inner", counted="n")
     shared = shared.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("n", "shingle"))).alias("shared"))
-    heads = heads.groupBy("id").agg(F.max(F.struct("size", "band", "rest")).alias("head"))
-    lines = heads.join(shared, "id", "left").select("id", "head.*", F.coalesce(F.col("shared.shingle"), F.array().cast("array<bigint>")).alias("shared"))
-    own = F.col("band") - F.size("shared")
-    placed = F.concat(
-        F.transform("shared", lambda h, i: F.struct(h.alias("shingle"), (own + i + 1).alias("place"))),
-        F.transform("rest", lambda h, i: F.struct(h.alias("shingle"), (F.col("band") + i + 1).alias("place"))),
-    )
+    lines = sets.groupBy("id").agg(F.max("size").alias("size")).join(shared, "id")
+    own = F.col("size") - F.size("shared")
+    placed = F.transform("shared", lambda h, i: F.struct(h["shingle"].alias("shingle"), (own + i + 1).alias("place")))
+    reach = _prefix(F.col("size"), threshold) + _DEPTH
     return stage(lines.select("id", "size", F.inline(placed)).where(F.col("place") <= reach), "ordered-shingles")
 
 
@@ -130,9 +135,14 @@ def _least_overlap(size: Column, threshold: float) -> Column:
     return F.ceil(size * threshold - _EPS).cast("int")
 
 
+def _prefix(size: Column, threshold: float) -> Column:
+    """Places of a prefix: two similar sets share a shingle in theirs."""
+    return size - _least_overlap(size, threshold) + 1
+
+
 def prefix_postings(ordered: DataFrame, threshold: float) -> DataFrame:
     """(token, id, size, place) of the prefix shingles of each set."""
-    return ordered.where(F.col("place") <= F.col("size") - _least_overlap(F.col("size"), threshold) + 1).select(
+    return ordered.where(F.col("place") <= _prefix(F.col("size"), threshold)).select(
         F.col("shingle").alias("token"), "id", "size", "place")
 
 
@@ -141,23 +151,21 @@ def _deeper(left: DataFrame, ordered: DataFrame, depth: int, threshold: float) -
     bucket of ``depth`` common shingles share one more in prefixes of ``depth`` places more.
     Two sets so small that they may have no more in common also meet again as they are."""
     again = left.where(_least_overlap(F.col("size"), threshold) <= depth).withColumn("token", F.xxhash64("token", F.lit("again")))
-    further = ordered.where(F.col("place") <= F.col("size") - _least_overlap(F.col("size"), threshold) + depth + 1).select(
+    further = ordered.where(F.col("place") <= _prefix(F.col("size"), threshold) + depth).select(
         "id", "shingle", F.col("place").alias("next"))
     return left.join(further, "id").where(F.col("next") > F.col("place")).select(
         F.xxhash64("token", "shingle").alias("token"), "id", "size", F.col("next").alias("place")).unionByName(again)
 
 
-def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Add the Jaccard similarity ``jaccard`` to distinct pairs (a, b) of the ``texts`` (id,
-    text). Only texts that some pair needs are turned into sets and moved. A pivot can be the b
+def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Add the Jaccard similarity ``jaccard`` to distinct pairs (a, b) of the ``sets`` (id,
+    shingles, size). Only sets that some pair needs are moved. A pivot can be the b
     side of very many pairs, so large pair tables take the join that treats hot keys
     apart."""
     pairs, n = stage_counted(pairs, "pairs")
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    found = lookup_join(texts, ids, ["id"], "left_semi", max_rows=_ID_ROWS, bound=2 * n)
-    # staged, because filters on the similarity would be moved in front of the sets
-    sets = stage(shingle_sets(found, F.col("text"), every=True), "pair-sets")
+    sets = stage(lookup_join(sets, ids, ["id"], "left_semi", max_rows=_ID_ROWS, bound=2 * n), "pair-sets")
     left, right = (sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}"), F.col("size").alias(f"n{x}")) for x in "ab")
     both = pairs.join(left, "a")
     if n <= _COLD_PAIRS:
@@ -190,21 +198,42 @@ def _with_bucket_size(postings: DataFrame) -> tuple[DataFrame, int]:
     return stage_counted(lookup_join(postings, buckets, ["token"], "inner", counted="n"), "postings")
 
 
+def _pairs_by_size(postings: DataFrame) -> list[tuple[int, int]]:
+    """Bucket sizes and the pairs that the buckets of that size have in all, smallest first."""
+    return sorted((r["n"], r["count"] * (r["n"] - 1) // 2) for r in postings.groupBy("n").count().collect())
+
+
+def _paired_size(pairs: list[tuple[int, int]], bucket_rows: int, allowed: int) -> int:
+    """Size up to which buckets are compared pairwise: ``bucket_rows``, and more as long as there
+    are at most ``allowed`` pairs."""
+    most, total = bucket_rows, 0
+    for n, more in pairs:
+        total += more
+        if total > allowed or n > _PAIRED_ROWS:
+            break
+        most = max(most, n)
+    return most
+
+
 def similar_edges(
     texts: DataFrame, threshold: float = SIMILARITY_THRESHOLD, bucket_rows: int = BUCKET_ROWS, share: float = 1.0
 ) -> tuple[DataFrame, int]:
     """Edges (a, b) of true pairs of ``texts`` (id, text) whose components are those of all true
     pairs, as a staged table, and their number."""
     limit = 1.0 - threshold
-    ordered = ordered_shingles(shingle_sets(texts, F.col("text")), threshold, share)
+    if share < 1:
+        texts = texts_with_company(texts, threshold, share)
+    sets = stage(shingle_sets(texts, F.col("text")), "sets")
+    ordered = ordered_shingles(sets, threshold)
     active, rows = _with_bucket_size(prefix_postings(ordered, threshold))
-    depth, rounds, edges, small = 1, 0, [], []
+    depth, rounds, edges, small, allowed = 1, 0, [], [], bucket_rows * rows // 2
 
-    def small_ones(table: DataFrame) -> DataFrame:
-        return table.where(F.col("n") <= bucket_rows).select("token", "id", "size", "place", F.lit(depth).alias("depth"))
+    def parted(table: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
+        most = _paired_size(pairs, bucket_rows, allowed << rounds)
+        small.append(table.where(F.col("n") <= most).select("token", "id", "size", "place", F.lit(depth).alias("depth")))
+        return table.where(F.col("n") > most)
 
-    small.append(small_ones(active))
-    active = active.where(F.col("n") > bucket_rows)
+    active = parted(active, _pairs_by_size(active))
     while rows and not active.isEmpty():
         # the same hash in every bucket: rows that share many buckets share their pivots
         wanted = _PIVOTS * 2 ** max(0, rounds - 2 * _DEPTH)
@@ -218,7 +247,7 @@ def similar_edges(
         )
         # sizes too different for a distance of twice the limit: too far to matter
         met = met.where(_sized_alike(F.col("na"), F.col("nb"), 1.0 - 2 * limit))
-        known, pairs = stage_counted(similarities(met.select("a", "b").distinct(), texts), "pivot-similarity")
+        known, pairs = stage_counted(similarities(met.select("a", "b").distinct(), sets), "pivot-similarity")
         edges.append(known.where(F.col("jaccard") >= threshold - _EPS).select("a", "b"))
         distance = met.select("token", "a", "b").join(known, ["a", "b"]).withColumn("d", 1.0 - F.col("jaccard"))
         ring = distance.where((F.col("d") > limit + _EPS) & (F.col("d") <= 2 * limit + _EPS)).groupBy("token", "b").agg(
@@ -232,17 +261,19 @@ def similar_edges(
         ).select("token", F.col("a").alias("id"))
         gone = settled.unionByName(pivots.select("token", F.col("b").alias("id")))
         left = active.select("token", "id", "size", "place").join(gone, ["token", "id"], "left_anti")
-        if rounds % 2 and depth < _DEPTH:
-            left = _deeper(stage(left, "unsettled"), ordered, depth, threshold)
-            depth += 1
         active, rows = _with_bucket_size(stage(left, "bucket-rows"))
-        small.append(small_ones(active))
-        active = active.where(F.col("n") > bucket_rows)
+        pairs = _pairs_by_size(active)
+        if rounds % 2 and depth < _DEPTH and sum(more for _, more in pairs) > allowed << rounds + 1:
+            further, n = _with_bucket_size(_deeper(active.drop("n", "first"), ordered, depth, threshold))
+            fewer = _pairs_by_size(further)
+            if sum(more for _, more in fewer) < sum(more for _, more in pairs):
+                active, rows, pairs, depth = further, n, fewer, depth + 1
         rounds += 1
+        active = parted(active, pairs)
     postings = small[0]
     for more in small[1:]:
         postings = postings.unionByName(more)
-    pairs = similarities(_bucket_pairs(postings, threshold), texts)
+    pairs = similarities(_bucket_pairs(postings, threshold), sets)
     found = pairs.where(F.col("jaccard") >= threshold - _EPS).select("a", "b")
     for e in edges:
         found = found.unionByName(e)

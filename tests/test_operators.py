@@ -368,3 +368,41 @@ def test_near_duplicates_with_a_band_of_the_shingles(spark, monkeypatch):
     assert sorted(sorted(g) for g in groups.values()) == _brute(texts, 0.85)
     assert "shingles" not in staged
     assert staged["pair-sets"].where(f"id >= '{len(texts) - 40:04d}'").count() == 0
+
+
+@pytest.mark.parametrize("bucket_rows", [4, 32])
+def test_near_copies_at_all_distances(spark, monkeypatch, bucket_rows):
+    """Copies with few and many changed words: pivots settle few, and no further shingle parts them."""
+    rng = random.Random(7)
+    base, texts = [f"w{i}" for i in range(150)], []
+    for _ in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(12)):
+            words[rng.randrange(150)] = f"n{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame([(f"{i:04d}", t, 1.0) for i, t in enumerate(texts)], "id string, text string, score double")
+    staged, stage_counted = [], dedup.stage_counted
+    monkeypatch.setattr(dedup, "stage_counted", lambda df, label: staged.append((label, *stage_counted(df, label))) or staged[-1][1:])
+    groups = {}
+    for r in dedup.duplicate_clusters(df, F.col("text"), F.col("score"), 0.85, bucket_rows).collect():
+        groups.setdefault(r["cluster"], []).append(int(r["id"]))
+    assert sorted(sorted(g) for g in groups.values()) == _brute(texts, 0.85)
+    rows = [n for label, _, n in staged if label == "postings"]
+    assert max(rows) == rows[0]
+
+
+def test_texts_of_their_own_go_before_sets_are_kept(spark, monkeypatch):
+    """Of texts that a band of the shingles shows to be unlike all others no shingles are kept; rows with one id are told apart."""
+    rng = random.Random(8)
+    long = lambda: " ".join(f"x{rng.randrange(10**9)}" for _ in range(300))
+    alike, other = long(), long()
+    rows = [(f"o{i:02d}", long(), 1.0) for i in range(30)] + [("a", alike, 1.0), ("b", alike + " tail", 1.0), ("a", other, 1.0), ("n", None, 1.0), ("s", "two words", 1.0)]
+    df = spark.createDataFrame(rows, "id string, text string, score double")
+    kept = dedup.texts_with_company(df.select("id", "text"), 0.85, 0.5)
+    assert sorted((r["id"], r["text"]) for r in kept.where("size(split(text, ' ')) > 2").collect()) == [("a", alike), ("b", alike + " tail")]
+    monkeypatch.setattr(dedup, "_WHOLE_ROWS", 0)
+    staged, stage = {}, dedup.stage
+    monkeypatch.setattr(dedup, "stage", lambda df, label: staged.setdefault(label, stage(df, label)))
+    found = dedup.duplicate_clusters(df, F.col("text"), F.col("score"), 0.85).collect()
+    assert {(r["id"], r["cluster"], r["keeper"]) for r in found} == {("a", "a", "a"), ("b", "a", "a")}
+    assert {r["id"] for label in ("bands", "sets") if label in staged for r in staged[label].collect()} == {"a", "b"}
