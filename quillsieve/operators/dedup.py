@@ -121,8 +121,8 @@ def ordered_shingles(sets: DataFrame, threshold: float) -> DataFrame:
     have and that other sets have too, as a staged table. The places of a set go from 1, by the
     number of sets with the shingle. Those that no other set has come first and have no row."""
     every = sets.select("id", F.explode("shingles").alias("shingle"))
-    counts = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = lookup_join(every, counts, ["shingle"], "inner", counted="n")
+    # counted where they meet: a count that is joined back would move all shingles twice
+    shared = every.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("n > 1")
     shared = shared.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("n", "shingle"))).alias("shared"))
     lines = sets.groupBy("id").agg(F.max("size").alias("size")).join(shared, "id")
     own = F.col("size") - F.size("shared")
